@@ -48,33 +48,42 @@ def _bucket_offsets(x: DataFrame, parts: list[str]) -> DataFrame:
     return counts.withColumn(_OFF, F.sum(_N).over(w) - F.col(_N))
 
 
+def rank_buckets(df: DataFrame, partition_by: list[str] | tuple = (), key: str = "key",
+                 seed: int = 42, prefix: int = 3) -> tuple[DataFrame, DataFrame]:
+    """First level of :func:`random_rank`: the rows with hash and bucket columns,
+    and the small offsets table ``(P..., bucket, __sl_n, __sl_off)``."""
+    parts = list(partition_by)
+    x = df.withColumn(_H, keyhash(key, seed)).withColumn(_B, hex_prefix(F.col(_H), prefix))
+    return x, _bucket_offsets(x.select(*parts, _B), parts)
+
+
+def rank_finish(x: DataFrame, offs: DataFrame, partition_by: list[str] | tuple = (),
+                key: str = "key", out: str = "rn") -> DataFrame:
+    """Second level: exact rank = bucket offset + row number inside the bucket.
+    Rows of buckets missing from ``offs`` (pruned) are dropped."""
+    parts = list(partition_by)
+    x = join_null_safe(x, offs.drop(_N), parts + [_B])
+    w = Window.partitionBy(*parts, _B).orderBy(_H, key)
+    return (x.withColumn(out, (F.col(_OFF) + F.row_number().over(w)).cast("bigint"))
+            .drop(_H, _B, _OFF))
+
+
 def random_rank(df: DataFrame, partition_by: list[str] | tuple = (), key: str = "key",
                 seed: int = 42, out: str = "rn", prefix: int = 3,
-                limit: Column | int | None = None, limit_by: DataFrame | None = None,
-                limit_col: str | None = None) -> DataFrame:
+                limit: Column | int | None = None) -> DataFrame:
     """Two-level ``row_number() over (partition by P order by md5(seed:key), key)``.
 
     ``key`` must be unique within the partition for the rank to be deterministic.
-
-    Optional pruning: when only ranks ``<= limit`` are wanted, buckets whose
-    offset already reaches the limit are dropped *before* the shuffle and sort.
-    ``limit`` is an int or a Column over ``partition_by``; or pass ``limit_by``
-    (a table keyed by ``partition_by`` with column ``limit_col``). The caller
-    still applies the exact ``rn <= limit`` filter.
+    With ``limit`` (an int, or a Column over ``partition_by``) buckets whose
+    offset already reaches it are pruned before the shuffle and sort; the
+    caller still applies the exact ``rn <= limit`` filter.
     """
     parts = list(partition_by)
-    x = df.withColumn(_H, keyhash(key, seed)).withColumn(_B, hex_prefix(F.col(_H), prefix))
-    offs = _bucket_offsets(x.select(*parts, _B), parts).drop(_N)
-    if limit_by is not None:
-        offs = join_null_safe(offs, limit_by.select(*parts, limit_col), parts)
-        offs = offs.where(F.col(_OFF) < F.col(limit_col)).drop(limit_col)
-    elif limit is not None:
+    x, offs = rank_buckets(df, parts, key, seed, prefix)
+    if limit is not None:
         lim = F.lit(limit) if isinstance(limit, int) else limit
         offs = offs.where(F.col(_OFF) < lim)
-    x = join_null_safe(x, offs, parts + [_B])
-    w = Window.partitionBy(*parts, _B).orderBy(_H, key)
-    return (x.withColumn(out, (F.col(_OFF) + F.row_number().over(w)).cast("bigint"))
-            .drop(_H, _B, _OFF))
+    return rank_finish(x, offs, parts, key, out)
 
 
 def random_rank_plain(df: DataFrame, partition_by: list[str] | tuple = (), key: str = "key",

@@ -16,11 +16,12 @@ def _col(c) -> Column:
 def clip_score(p, eps: float = CLIP_EPS) -> Column:
     """Clip to [eps, 1-eps]; NaN and null stay as they are.
 
-    ``least/greatest`` alone would turn NaN into 1-eps (Spark orders NaN last).
+    ``least/greatest`` alone would turn NaN into 1-eps (Spark orders NaN last)
+    and null into eps (both skip nulls): a missing prediction must stay missing.
     """
     p = _col(p)
     clipped = F.least(F.greatest(p, F.lit(float(eps))), F.lit(1.0 - eps))
-    return F.when(F.isnan(p), p).otherwise(clipped)
+    return F.when(p.isNull() | F.isnan(p), p).otherwise(clipped)
 
 
 def nan_to_null(p) -> Column:

@@ -120,7 +120,7 @@ def q_threshold_metrics(spark, sf):
 
 @register("clip_scores", f"""
 SELECT key, grp, score,
-  CASE WHEN isnan(score) THEN score ELSE least(greatest(score, 1e-6::double), 1.0::double - 1e-6::double) END
+  CASE WHEN score IS NULL OR isnan(score) THEN score ELSE least(greatest(score, 1e-6::double), 1.0::double - 1e-6::double) END
     AS clipped
 FROM {V.ASSAY_SQL}""")
 def q_clip_scores(spark, sf):
@@ -372,3 +372,5 @@ def q_union_classes(spark, sf):
     neg = (S.stratified_sample(a, max_positive=None, groups=V.ASSAY_GROUPS)
            .where(F.col("label") == 0).select("key", "grp", "label", F.lit("neg").alias("part")))
     return pos.unionByName(neg)
+
+from screenlake.plans import queries_data  # noqa: E402,F401

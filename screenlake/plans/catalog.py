@@ -374,3 +374,4 @@ def q_union_classes(spark, sf):
     return pos.unionByName(neg)
 
 from screenlake.plans import queries_data  # noqa: E402,F401
+from screenlake.plans import queries_ml  # noqa: E402,F401

@@ -268,3 +268,9 @@ def token_gain_topk(df: DataFrame, k: int = 20, key: str = "key", label: str = "
     top = per.withColumn("lift", lift).orderBy(F.col("lift").desc(), "bit").limit(k)
     w = Window.orderBy(F.col("lift").desc(), "bit")
     return top.withColumn("rank", F.row_number().over(w).cast("int"))
+
+
+def text_descriptors_with_chunk(df: DataFrame, key: str = "key", text: str = "text",
+                                chunk: str = "chunk_id") -> DataFrame:
+    """FP4 keeping the chunk column (for chunked, resumable writers)."""
+    return df.select(key, chunk, *descriptor_columns(text))

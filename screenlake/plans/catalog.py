@@ -375,3 +375,4 @@ def q_union_classes(spark, sf):
 
 from screenlake.plans import queries_data  # noqa: E402,F401
 from screenlake.plans import queries_ml  # noqa: E402,F401
+from screenlake.plans import queries_stream  # noqa: E402,F401

@@ -78,35 +78,29 @@ def text_chars(text) -> Column:
     return F.split(F.regexp_replace(_c(text), "[0-9]", "0"), "")
 
 
-def grams_of_chars(chars: str, q: int = GRAM) -> Column:
-    """All q-grams of a *column* of characters (whole text).
-
-    ``chars`` must be a materialised column: an expression referenced inside a
-    lambda is re-evaluated for every element. Grams are built by index, so the
-    cost is linear in the text length (``substring`` on UTF-8 would walk from
-    the start for every gram).
-    """
-    c = F.col(chars)
-    n = F.size(c) - F.lit(q) + F.lit(1)
-    return F.when(n >= 1, F.transform(F.sequence(F.lit(1), n),
-                                      lambda i: F.array_join(F.slice(c, i, q), ""))) \
-        .otherwise(F.array().cast("array<string>"))
+def grams(text, q: int = GRAM) -> Column:
+    """All overlapping q-character substrings of the digit-normalised text
+    (whole text), in one linear regex pass: an empty look-ahead match at every
+    position captures the next q characters."""
+    norm = F.regexp_replace(_c(text), "[0-9]", "0")
+    return F.coalesce(F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{q}}}))"), 1),
+                      F.array().cast("array<string>"))
 
 
 def with_gram_bits(df: DataFrame, text: str, nbits: int = DEFAULT_NBITS, q: int = GRAM,
                    out: str = "bits") -> DataFrame:
-    """Add ``out``: array of bit ids, one per q-gram occurrence of the whole text."""
-    x = df.withColumn("__chars", text_chars(text))
-    return x.withColumn(out, F.transform(grams_of_chars("__chars", q),
-                                         lambda g: hash_bucket(g, nbits))).drop("__chars")
+    """Add ``out``: array of bit ids, one per q-gram occurrence of the whole text.
+    The gram array is materialised first (a lambda re-evaluates outer expressions
+    per element)."""
+    x = df.withColumn("__grams", grams(text, q))
+    return x.withColumn(out, F.transform("__grams", lambda g: hash_bucket(g, nbits))).drop("__grams")
 
 
 def hashed_fingerprint(df: DataFrame, key: str = "key", text: str = "text",
                        nbits: int = DEFAULT_NBITS, q: int = GRAM) -> DataFrame:
     """FP1 long form ``(key, bit, cnt)``. The explode is followed by a partial
     aggregate, so at most ``nbits`` rows per key and task are shuffled."""
-    g = (df.select(key, text_chars(text).alias("__chars"))
-         .select(key, F.explode(grams_of_chars("__chars", q)).alias("__g")))
+    g = df.select(key, F.explode(grams(text, q)).alias("__g"))
     return (g.groupBy(key, hash_bucket("__g", nbits).alias("bit"))
             .agg(F.count(F.lit(1)).cast("bigint").alias("cnt")))
 
@@ -123,6 +117,12 @@ def pattern_keys(df: DataFrame, key: str = "key", text: str = "text",
 
 
 def _cnt(t: Column, rx: str) -> Column:
+    """Non-overlapping match count. Literal patterns are counted without the
+    regex engine: (length - length(replace)) / len(pattern), same result."""
+    lit = rx.replace("\\", "")
+    if len(lit) <= 2 and lit.isprintable() and not any(ch in rx for ch in "[]|?*+.{}%"):
+        return ((F.length(t) - F.length(F.replace(t, F.lit(lit), F.lit("")))) / F.lit(len(lit))) \
+            .cast("bigint")
     return F.regexp_count(t, F.lit(rx)).cast("bigint")
 
 

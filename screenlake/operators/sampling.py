@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from screenlake.operators.rank import (_N, _OFF, join_null_safe, key_position, random_rank,
                                        rank_buckets, rank_finish)
+from screenlake.session import materialize
 
 # Fixed values from the reference configuration.
 NEGATIVE_RATIO = 5
@@ -78,6 +79,8 @@ def chunk_sample(df: DataFrame, label: str = "label", key: str = "key",
     x = chunk_ids(df, key, chunk_size).withColumn("is_pos", is_pos)
     if negatives == "zero":
         x = x.where(F.col("is_pos") | (F.col(label) == 0))
+    # positions feed both rank levels: compute them once
+    x = materialize(x, "chunk-positions")
     parts = ["chunk_id", "is_pos"]
     xb, offs = rank_buckets(x, parts, key, seed, prefix)
     tot = offs.groupBy(*parts).agg(F.sum(_N).alias("__tot"))
@@ -149,8 +152,12 @@ def chunked_sample(df: DataFrame, group: str = "grp", label: str = "label", key:
                    max_total: int = MAX_TOTAL_SAMPLES, chunk_size: int = DATA_CHUNK_SIZE,
                    merge_interval: int = MERGE_INTERVAL, seed: int = RANDOM_SEED,
                    groups: list[str] | None = None) -> DataFrame:
-    """The chunked loader as one plan: W2 -> W3 -> W4 -> W6."""
+    """The chunked loader: W2 -> W3 -> W4 -> W6. Each stage reads its input
+    twice (counts, then ranks), so stage outputs (already reduced by sampling)
+    are written to the shared folder instead of recomputed. Pass the narrow
+    (key, group, label) projection and fetch wide columns by key afterwards."""
     s = chunk_sample(df, label, key, chunk_size, negative_ratio, seed)
-    s = window_positive_cap(s, group, key, max_positive_per_group, merge_interval, seed, groups)
-    s = early_stop_windows(s, max_total)
+    s = materialize(window_positive_cap(s, group, key, max_positive_per_group, merge_interval,
+                                        seed, groups), "window-capped")
+    s = materialize(early_stop_windows(s, max_total), "early-stopped")
     return truncate_to_cap(s, max_total, key, seed)

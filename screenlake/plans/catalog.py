@@ -291,8 +291,9 @@ def _chunk_sampled(spark, sf):
 
 
 def _win_capped(spark, sf):
-    return S.window_positive_cap(_chunk_sampled(spark, sf), max_per_group=WIN_CAP,
-                                 merge_interval=5, groups=V.ASSAY_GROUPS)
+    from screenlake.session import materialize
+    return materialize(S.window_positive_cap(_chunk_sampled(spark, sf), max_per_group=WIN_CAP,
+                                             merge_interval=5, groups=V.ASSAY_GROUPS), "window-capped")
 
 
 @register("chunk_sample", "WITH " + _CHUNK_BASE + """
@@ -328,7 +329,8 @@ def q_early_stop_windows(spark, sf):
 sh AS (SELECT *, row_number() OVER (ORDER BY {_kh('key')}, key) AS shuffle_pos FROM es)
 SELECT key, grp, label, shuffle_pos::bigint AS shuffle_pos FROM sh WHERE shuffle_pos <= 600""")
 def q_truncate_to_cap(spark, sf):
-    s = S.early_stop_windows(_win_capped(spark, sf), TOTAL_CAP)
+    from screenlake.session import materialize
+    s = materialize(S.early_stop_windows(_win_capped(spark, sf), TOTAL_CAP), "early-stopped")
     return S.truncate_to_cap(s, 600).select("key", "grp", "label", "shuffle_pos")
 
 

@@ -13,7 +13,7 @@ from screenlake.operators import profile as P
 from screenlake.plans import sql_text as Q
 from screenlake.plans import views as V
 from screenlake.plans.catalog import register
-from screenlake.session import shared_dir
+from screenlake.session import materialize, shared_dir
 from screenlake.sources import files as SF
 from screenlake.sources import parquet as SP
 
@@ -30,7 +30,8 @@ _OOF_SQL = f"""(SELECT f.key, f.grp, f.label, f.fold, {Q.clip('p.pred')} AS oof_
 
 
 def _oof(spark, sf):
-    a = FO.stratified_folds(V.assay(spark, sf), n_folds=5)
+    # the folded table feeds every fold's predictions: write it once
+    a = materialize(FO.stratified_folds(V.assay(spark, sf), n_folds=5), "folded")
     preds = [a.where(F.col("fold") == k).select("key", F.col("score").alias("pred"))
              for k in range(SCORED_FOLDS)]
     return E.attach_oof(a.select("key", "grp", "label", "fold"), preds)

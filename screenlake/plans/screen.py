@@ -21,20 +21,10 @@ from screenlake.operators import metrics as M
 from screenlake.operators import sampling as S
 from screenlake.operators import train as T
 from screenlake.plans import views as V
-from screenlake.session import shared_dir
+from screenlake.session import materialize, shared_dir
 from screenlake.sources import files as SF
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it
-    back: later stages (k model fits) start from files, not from lineage, and
-    survive executor loss without recomputing the featurization."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 @dataclass
 class ScreenConfig:
     groups: list[str] = field(default_factory=lambda: list(V.DOC_GROUPS))

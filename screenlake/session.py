@@ -59,3 +59,15 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if "://" not in base:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back. Used at stage boundaries of multi-pass operators (a two-level rank
+    reads its input twice; chained stages would otherwise recompute their whole
+    lineage once per reference) and before iterative work. Files in the shared
+    folder survive executor loss; ``localCheckpoint`` is never used."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from screenlake.functions.scores import is_missing, threshold_class
 from screenlake.operators.rank import join_null_safe
+from screenlake.session import materialize
 
 # Number of score buckets per unit of score; probabilities use 2^16 + 1 buckets.
 DEFAULT_RESOLUTION = 1 << 16
@@ -83,7 +84,9 @@ def group_auc(df: DataFrame, group="grp", label: str = "label", score: str = "sc
     Output: ``group..., n_pos, n_neg, auc``.
     """
     gs = _as_list(group)
-    cnt = score_counts(df, gs, label, score)
+    # the collapsed counts feed two branches (bucket totals, per-score ranks):
+    # write them once so the input (often model scoring) is evaluated once
+    cnt = materialize(score_counts(df, gs, label, score), "score-counts")
     cum = cumulate_by_score(cnt, gs, score, ["neg"], resolution=resolution)
     per = cum.groupBy(*gs).agg(
         F.sum("pos").cast("bigint").alias("n_pos"),
@@ -117,7 +120,8 @@ def average_precision(df: DataFrame, group="grp", label: str = "label",
     """Average precision, step form over distinct thresholds (descending):
     ``sum_s pos(s)/n_pos * cum_pos(s)/cum_n(s)``. Null without positives."""
     gs = _as_list(group)
-    cnt = score_counts(df, gs, label, score).withColumn("n", F.col("pos") + F.col("neg"))
+    cnt = materialize(score_counts(df, gs, label, score), "score-counts") \
+        .withColumn("n", F.col("pos") + F.col("neg"))
     cum = cumulate_by_score(cnt, gs, score, ["pos", "n"], descending=True,
                             resolution=resolution)
     term = F.col("pos").cast("double") * F.col("cum_pos").cast("double") / F.col("cum_n").cast("double")

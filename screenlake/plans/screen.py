@@ -50,12 +50,14 @@ def run_screen(labelled: DataFrame, unlabelled: DataFrame, cfg: ScreenConfig,
     feats = materialize(T.ml_features(data, cfg.groups, nbits=cfg.nbits)
                         .select("key", "grp", "label", "fold", "features"), "train-features")
     models, preds = T.cross_validate(feats, cfg.trainer, cfg.n_folds)
-    oof = E.attach_oof(feats.select("key", "grp", "label", "fold"), preds.select("key", "pred"))
+    # k model scorings feed several metrics: score once, keep the file
+    oof = materialize(E.attach_oof(feats.select("key", "grp", "label", "fold"),
+                                   preds.select("key", "pred")), "oof")
     per_fold = M.group_auc(oof, ["fold", "grp"], "label", "oof_pred")
     fold_metrics = M.metrics_long(per_fold, "grp", "auc", by="fold")
     test = materialize(T.ml_features(unlabelled, cfg.groups, nbits=cfg.nbits)
                        .select("key", "features"), "test-features")
-    ens = E.ensemble_mean(T.ensemble_scores(models, test))
+    ens = materialize(E.ensemble_mean(T.ensemble_scores(models, test)), "ensemble")
     if template is None:
         template = unlabelled.select(F.col("key").cast("int").alias("id")).distinct()
     sub = E.create_submission(template, ens.select(F.col("key").cast("int").alias("id"),

@@ -73,17 +73,13 @@ def text_is_valid(text) -> Column:
             & (F.regexp_count(t, F.lit(r"\[")) == F.regexp_count(t, F.lit(r"\]"))))
 
 
-def text_chars(text) -> Column:
-    """Characters of the digit-normalised text, as an array (split once)."""
-    return F.split(F.regexp_replace(_c(text), "[0-9]", "0"), "")
-
-
 def grams(text, q: int = GRAM) -> Column:
     """All overlapping q-character substrings of the digit-normalised text
-    (whole text), in one linear regex pass: an empty look-ahead match at every
-    position captures the next q characters."""
+    (whole text), in one linear regex pass: every match consumes exactly one
+    character (code point, so surrogate pairs stay whole) and its look-ahead
+    captures the q characters starting there."""
     norm = F.regexp_replace(_c(text), "[0-9]", "0")
-    return F.coalesce(F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{q}}}))"), 1),
+    return F.coalesce(F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{q}}}))."), 1),
                       F.array().cast("array<string>"))
 
 

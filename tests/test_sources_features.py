@@ -99,3 +99,14 @@ def test_discovery(spark):
     assert files.count() == 14
     assert SF.find_input(spark, SF0001, "orders").endswith("orders.parquet")
     assert SF.find_input(spark, SF0001, "nope", "dflt") == "dflt"
+
+
+def test_grams_are_code_point_substrings(spark):
+    import re
+    texts = ["ab\U0001F600cd\U0001F600\U0001F600ef", "éu n1 2x", "\U0001F600" * 5, "abc", "",
+             "a\nb\r\nc\td"]
+    df = spark.createDataFrame(list(enumerate(texts)), "key long, text string")
+    got = {r.key: r.g for r in df.select("key", X.grams("text").alias("g")).collect()}
+    for i, t in enumerate(texts):
+        n = re.sub("[0-9]", "0", t)
+        assert got[i] == [n[j:j + 4] for j in range(len(n) - 3)]

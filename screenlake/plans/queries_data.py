@@ -380,3 +380,14 @@ SELECT bit, n_docs, n_pos, lift, (row_number() OVER (ORDER BY lift DESC, bit))::
 ORDER BY lift DESC, bit LIMIT 20""")
 def q_token_gain_topk(spark, sf):
     return X.token_gain_topk(V.docs(spark, sf), k=20, nbits=_NB)
+
+
+@register("csv_first_n", f"""
+SELECT key, grp, label::tinyint AS label FROM {V.ASSAY_SQL} ORDER BY key LIMIT 50""")
+def q_csv_first_n(spark, sf):
+    # The whole view written as header CSV, read back with a declared
+    # schema (label as tinyint), first 50 rows by key as the mock test set
+    a = V.assay(spark, sf).select("key", "grp", "label")
+    path = SF.write_csv(a, shared_dir(spark, "small-csv"))
+    return SF.read_small_csv(spark, path, "key BIGINT, grp STRING, label TINYINT",
+                             first_n=50, order_by="key")

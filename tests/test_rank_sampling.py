@@ -80,3 +80,25 @@ def test_group_disjoint_folds(spark):
     o = V.table(spark, SF001, "orders").select(F.col("o_orderkey").alias("key"), "o_custkey")
     f = FO.group_disjoint_folds(o, "o_custkey", 5)
     assert f.groupBy("o_custkey").agg(F.countDistinct("fold").alias("n")).where("n > 1").count() == 0
+
+
+def test_hot_group_rank_and_sample(spark):
+    # one group holds ~90% of the rows: ranks and quotas stay exact
+    rows = [(i, "hot" if i % 10 else "cold", int(i % 37 == 0)) for i in range(20000)]
+    df = spark.createDataFrame(rows, "key long, grp string, label int")
+    two = R.random_rank(df, ["grp", "label"], "key", out="rn")
+    one = R.random_rank_plain(df, ["grp", "label"], "key", out="rn")
+    assert two.exceptAll(one).count() == 0
+    s = S.stratified_sample(df, max_positive=100, negative_ratio=3)
+    c = {(r.grp, r.label): r["count"] for r in s.groupBy("grp", "label").count().collect()}
+    assert c[("hot", 1)] == 100 and c[("hot", 0)] == 300
+
+
+def test_buckets_spread_a_hot_stratum(spark):
+    # the second-level window is partitioned by (stratum, bucket): no bucket
+    # of a hot stratum holds more than a small share of its rows
+    rows = [(i, "hot", 0) for i in range(40000)]
+    df = spark.createDataFrame(rows, "key long, grp string, label int")
+    x, offs = R.rank_buckets(df, ["grp", "label"], "key")
+    biggest = offs.agg(F.max("__sl_n")).first()[0]
+    assert offs.count() > 3000 and biggest < 0.002 * 40000

@@ -31,7 +31,7 @@ def join_null_safe(left: DataFrame, right: DataFrame, cols: list[str],
                    how: str = "inner") -> DataFrame:
     """Equi-join on same-named columns with ``<=>`` (null groups match null groups)."""
     if not cols:
-        return left.crossJoin(right) if how == "inner" else left.join(right, how=how)
+        raise ValueError("join_null_safe needs at least one key column")
     r = right
     for c in cols:
         r = r.withColumnRenamed(c, f"__r_{c}")

@@ -77,14 +77,19 @@ def chunk_sample_batch(batch: DataFrame, chunk_id: int, label: str = "label", ke
             .withColumn("chunk_id", F.lit(chunk_id).cast("bigint")))
 
 
+def write_chunk(out: DataFrame, sink: str, chunk: str = "chunk_id") -> None:
+    """Keyed, idempotent append: only the partitions of the chunks present in
+    ``out`` are replaced, so re-running a micro-batch never duplicates rows."""
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(chunk).parquet(sink))
+
+
 def stream_chunk_sample(spark: SparkSession, src: str, schema, sink: str, checkpoint: str,
                         max_files: int = 2, negative_ratio: int = 5, label: str = "label",
                         key: str = "key") -> int:
     """M2: per-micro-batch sampling with an idempotent keyed append."""
     def each(batch: DataFrame, batch_id: int):
-        out = chunk_sample_batch(batch, batch_id, label, key, negative_ratio)
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("chunk_id").parquet(sink))
+        write_chunk(chunk_sample_batch(batch, batch_id, label, key, negative_ratio), sink)
 
     q = (file_stream(spark, src, schema, max_files).writeStream
          .option("checkpointLocation", checkpoint).foreachBatch(each)

@@ -19,21 +19,21 @@ from screenlake.sources import parquet as SP
 
 # ------------------------------------------------------------------ OOF, CV, ensemble
 
-SCORED_FOLDS = 4   # folds 0..3 produce predictions; fold 4 plays a failed fold
+N_FOLDS = 5
 
 _FOLDED_SQL = f"""(SELECT *, ((row_number() OVER (PARTITION BY grp, label ORDER BY {Q.kh('key')}, key) - 1) % 5)::int
   AS fold FROM {V.ASSAY_SQL})"""
 
 _OOF_SQL = f"""(SELECT f.key, f.grp, f.label, f.fold, {Q.clip('p.pred')} AS oof_pred
-  FROM {_FOLDED_SQL} f LEFT JOIN (SELECT key, score AS pred FROM {_FOLDED_SQL} WHERE fold < {SCORED_FOLDS}) p
-  ON f.key = p.key)"""
+  FROM {_FOLDED_SQL} f LEFT JOIN (SELECT key, score AS pred FROM {_FOLDED_SQL}) p ON f.key = p.key)"""
 
 
 def _oof(spark, sf):
     # the folded table feeds every fold's predictions: write it once
     a = materialize(FO.stratified_folds(V.assay(spark, sf), n_folds=5), "folded")
+    # one prediction set per fold model (here the view's score plays the model)
     preds = [a.where(F.col("fold") == k).select("key", F.col("score").alias("pred"))
-             for k in range(SCORED_FOLDS)]
+             for k in range(N_FOLDS)]
     return E.attach_oof(a.select("key", "grp", "label", "fold"), preds)
 
 

@@ -20,7 +20,7 @@ N_FOLDS = 3
 def _features(spark, sf):
     d = FO.stratified_folds(V.docs(spark, sf), n_folds=N_FOLDS)
     f = T.ml_features(d, V.DOC_GROUPS).select("key", "grp", "label", "fold", "features")
-    return materialize(f, "docs-features")
+    return materialize(f, "docs-features", sort_within=["key"])
 
 
 def _fit0(spark, sf, cfg=SMALL_TRAINER):
@@ -58,13 +58,13 @@ def q_alt_trainer(spark, sf):
 def q_param_search(spark, sf):
     f = _features(spark, sf)
     tr, va = FO.split_fold(f, 0)
-    return T.param_search(tr, va, SMALL_TRAINER, n_trials=3, max_iter=5)
+    return T.param_search(tr, va, SMALL_TRAINER, n_trials=3, max_iter=5, parallelism=3)
 
 
 @register("cv_oof")
 def q_cv_oof(spark, sf):
     f = _features(spark, sf)
-    _, preds = T.cross_validate(f, SMALL_TRAINER, N_FOLDS)
+    _, preds = T.cross_validate(f, SMALL_TRAINER, N_FOLDS, parallelism=N_FOLDS)
     return E.attach_oof(f.select("key", "grp", "label", "fold"), preds.select("key", "pred"))
 
 

@@ -48,7 +48,8 @@ def run_screen(labelled: DataFrame, unlabelled: DataFrame, cfg: ScreenConfig,
                                    cfg.max_positive, cfg.seed, cfg.groups).drop("rn")
     data = FO.stratified_folds(data, "grp", "label", "key", cfg.n_folds, cfg.seed)
     feats = materialize(T.ml_features(data, cfg.groups, nbits=cfg.nbits)
-                        .select("key", "grp", "label", "fold", "features"), "train-features")
+                        .select("key", "grp", "label", "fold", "features"), "train-features",
+                        sort_within=["key"])
     models, preds = T.cross_validate(feats, cfg.trainer, cfg.n_folds)
     # k model scorings feed several metrics: score once, keep the file
     oof = materialize(E.attach_oof(feats.select("key", "grp", "label", "fold"),
@@ -77,7 +78,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = V.docs(spark, sf_dir)
     data = FO.stratified_folds(docs, n_folds=2)
     feats = T.ml_features(data, V.DOC_GROUPS).select("key", "grp", "label", "fold", "features")
-    feats = materialize(feats, "flagship-features")
+    feats = materialize(feats, "flagship-features", sort_within=["key"])
     _, preds = T.cross_validate(feats, SMALL_TRAINER, 2)
     oof = E.attach_oof(feats.select("key", "grp", "label", "fold"), preds.select("key", "pred"))
     return E.oof_group_auc(oof, groups=V.DOC_GROUPS)

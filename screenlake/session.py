@@ -61,13 +61,18 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", sort_within: list[str] | None = None):
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back. Used at stage boundaries of multi-pass operators (a two-level rank
     reads its input twice; chained stages would otherwise recompute their whole
     lineage once per reference) and before iterative work. Files in the shared
-    folder survive executor loss; ``localCheckpoint`` is never used."""
+    folder survive executor loss; ``localCheckpoint`` is never used.
+
+    ``sort_within`` fixes the row order inside each partition (shuffle output
+    order varies between runs); row-sampling learners then repeat exactly."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
+    if sort_within:
+        df = df.sortWithinPartitions(*sort_within)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -102,3 +102,13 @@ def test_buckets_spread_a_hot_stratum(spark):
     x, offs = R.rank_buckets(df, ["grp", "label"], "key")
     biggest = offs.agg(F.max("__sl_n")).first()[0]
     assert offs.count() > 3000 and biggest < 0.002 * 40000
+
+
+def test_window_cap_binds(spark):
+    # 7 positives of one group in one merge window, cap 3: exactly 3 kept, negatives untouched
+    rows = [(i, "F", 1) for i in range(7)] + [(100 + i, "F", 0) for i in range(20)]
+    df = spark.createDataFrame(rows, "key long, grp string, label int")
+    s = S.chunk_sample(df, chunk_size=1000, negative_ratio=2)
+    assert s.where("label = 0").count() == 14
+    capped = S.window_positive_cap(s, max_per_group=3, merge_interval=5)
+    assert capped.where("label = 1").count() == 3 and capped.where("label = 0").count() == 14

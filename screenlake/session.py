@@ -42,13 +42,21 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only if unset."""
-    d = spark.conf.get(CHECKPOINT_CONF, None)
+    """Return the session's checkpoint folder, creating a local one only if unset.
+
+    Order: ``spark.checkpoint.dir`` from the session, then a checkpoint folder
+    already set on the context, then (tests only) a new local folder.
+    """
+    sc = spark.sparkContext
+    d = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="screenlake-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.conf.set(CHECKPOINT_CONF, d)
+        except Exception:   # core conf not settable at runtime in this session
+            pass
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 

@@ -112,3 +112,19 @@ def test_window_cap_binds(spark):
     assert s.where("label = 0").count() == 14
     capped = S.window_positive_cap(s, max_per_group=3, merge_interval=5)
     assert capped.where("label = 1").count() == 3 and capped.where("label = 0").count() == 14
+
+
+def test_guards_and_small_helpers(spark):
+    import pytest
+    from screenlake.operators import ensemble as E
+    from screenlake.operators import profile as P
+    a = V.assay(spark, SF001)
+    assert P.require_min_positives(a, minimum=50) > 50
+    with pytest.raises(ValueError):
+        P.require_min_positives(a.where("grp = 'F'").limit(10), minimum=50)
+    w = a.select("key", E.row_mean(["score", "score2", "score3"]).alias("m"))
+    l = E.ensemble_mean(E.stack_scores(a, "key", ["score", "score2", "score3"]))
+    j = w.join(l, "key").where(F.abs(F.col("m") - F.col("ensemble")) > 1e-9)
+    assert j.count() == 0
+    s = a.select(FO.stratum_key("grp", "label").alias("s")).distinct()
+    assert sorted(r.s for r in s.collect()) == ["F_0", "F_1", "O_0", "O_1", "P_0", "P_1"]

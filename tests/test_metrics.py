@@ -86,3 +86,36 @@ def test_group_auc_independent_of_partitions(spark):
     a = M.group_auc(df).first().auc
     b = M.group_auc(df.repartition(13)).first().auc
     assert a == b
+
+
+def test_auc_matches_mllib_evaluator(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.functions import array_to_vector
+    rnd = random.Random(11)
+    rows = [("all", int(rnd.random() < 0.2), round(rnd.random(), 2)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    ours = M.group_auc(df).first().auc
+    raw = df.select(F.col("label").cast("double").alias("label"),
+                    array_to_vector(F.array(-F.col("score"), F.col("score"))).alias("raw"))
+    ev = BinaryClassificationEvaluator(rawPredictionCol="raw", labelCol="label", numBins=0)
+    assert abs(ev.evaluate(raw) - ours) < 1e-9
+
+
+def _brute_ap(rows):
+    n_pos = sum(y for y, _ in rows)
+    ap = 0.0
+    for t in sorted({s for _, s in rows}, reverse=True):
+        tp_t = sum(1 for y, s in rows if s == t and y == 1)
+        cum_tp = sum(1 for y, s in rows if s >= t and y == 1)
+        cum_n = sum(1 for _, s in rows if s >= t)
+        ap += tp_t / n_pos * cum_tp / cum_n
+    return ap
+
+
+def test_average_precision_matches_brute_force(spark):
+    rnd = random.Random(5)
+    rows = [(g, int(rnd.random() < 0.25), round(rnd.uniform(0, 2), 1)) for g in "uv" for _ in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.grp: r.average_precision for r in M.average_precision(df, resolution=3).collect()}
+    for g in "uv":
+        assert abs(got[g] - _brute_ap([(y, s) for gg, y, s in rows if gg == g])) < 1e-8

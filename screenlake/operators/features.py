@@ -226,20 +226,29 @@ def feature_table_long(df: DataFrame, groups: list[str], key: str = "key", text:
                        group: str = "grp", nbits: int = DEFAULT_NBITS) -> DataFrame:
     """J3 in sparse COO form ``(key, feature_idx, value)``: fingerprint counts
     at ``0..nbits-1``, descriptors next, then the group one-hot. Zero entries
-    are omitted. Fingerprints/descriptors are computed per distinct text (J4)
-    and joined back to every row by text."""
-    dist = df.select(text).where(F.col(text).isNotNull()).distinct() \
-        .withColumn("__tid", F.md5(F.col(text)))
-    fp = hashed_fingerprint(dist, "__tid", text, nbits).select(
-        "__tid", F.col("bit").alias("feature_idx"), F.col("cnt").cast("double").alias("value"))
-    desc = dist.select("__tid", *descriptor_columns(text))
-    nd = len(DESCRIPTOR_NAMES)
-    pairs = ", ".join(f"{nbits + j}, cast(`{n}` as double)" for j, n in enumerate(DESCRIPTOR_NAMES))
-    dlong = desc.selectExpr("__tid", f"stack({nd}, {pairs}) as (feature_idx, value)")
-    per_text = fp.unionByName(dlong).where(F.col("value") != 0)
+    are omitted.
+
+    One pass per distinct text (J4): its gram hits ``(bit, 1)`` and its
+    descriptor values ``(nbits + j, v)`` are exploded together and summed per
+    (text, feature) with map-side partial aggregation; the result is joined
+    back to every row by md5(text)."""
+    dist = (df.select(text).where(F.col(text).isNotNull()).distinct()
+            .withColumn("__tid", F.md5(F.col(text)))
+            .withColumn("__grams", grams(text)))
+    item = "struct<feature_idx:int,value:double>"
+    fp_items = F.transform("__grams", lambda g: F.struct(hash_bucket(g, nbits).alias("feature_idx"),
+                                                         F.lit(1.0).alias("value")))
+    desc_items = F.array(*[F.struct(F.lit(nbits + j).alias("feature_idx"),
+                                    c.cast("double").alias("value"))
+                           for j, c in enumerate(descriptor_columns(text))]).cast(f"array<{item}>")
+    per_text = (dist.select("__tid", F.explode(F.concat(fp_items.cast(f"array<{item}>"), desc_items))
+                            .alias("__it"))
+                .groupBy("__tid", F.col("__it.feature_idx").alias("feature_idx"))
+                .agg(F.sum("__it.value").alias("value"))
+                .where(F.col("value") != 0))
     rows = df.select(key, group, F.md5(F.col(text)).alias("__tid"))
     x = rows.join(per_text, "__tid").select(key, F.col("feature_idx").cast("int"), "value")
-    base = nbits + nd
+    base = nbits + len(DESCRIPTOR_NAMES)
     gpairs = F.array(*[F.when(F.col(group) == g, F.lit(base + i)) for i, g in enumerate(groups)])
     oh = rows.select(key, F.explode(F.filter(gpairs, lambda v: v.isNotNull())).alias("feature_idx")) \
         .select(key, F.col("feature_idx").cast("int"), F.lit(1.0).alias("value"))

@@ -93,5 +93,5 @@ def unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts(spark, sf_dir).join(lab, "key", "left_anti")
 
 
-UNLABELLED_SQL = """(SELECT doc_id AS key, lang AS grp, text FROM documents
-  WHERE doc_id NOT IN (SELECT doc_id FROM labels))"""
+UNLABELLED_SQL = """(SELECT d.doc_id AS key, d.lang AS grp, d.text FROM documents d
+  WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id))"""

@@ -84,3 +84,15 @@ def materialize(df, name: str = "stage", sort_within: list[str] | None = None):
         df = df.sortWithinPartitions(*sort_within)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+# Rows up to which a data-derived table is broadcast after its size is checked.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def checked_broadcast(small, max_rows: int = MAX_BROADCAST_ROWS):
+    """Broadcast ``small`` only when its row count (checked here) is at most
+    ``max_rows``; otherwise return it unchanged so the join shuffles (with AQE
+    skew splitting). ``small`` should be materialised: it is counted, then joined."""
+    from pyspark.sql import functions as F
+    return F.broadcast(small) if small.count() <= max_rows else small

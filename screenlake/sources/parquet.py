@@ -113,11 +113,15 @@ def dictionary_encode(df: DataFrame, col: str, out: str | None = None, seed: int
     """T3 encoding: a dense integer code per distinct value.
 
     Codes follow the md5 order of the values (two-level rank over the distinct
-    values), so no single task or the driver ever holds the dictionary; the
-    dictionary is joined back by value.
+    values), so no single task or the driver ever holds the dictionary. The
+    dictionary is written once, counted, and broadcast when small (the usual
+    case: the column was chosen for its low distinct ratio, and each frequent
+    value would otherwise be a hot key of a sort-merge join); a large
+    dictionary is joined with a shuffle instead.
     """
+    from screenlake.session import checked_broadcast, materialize
     out = out or f"{col}_code"
     dist = df.select(col).where(F.col(col).isNotNull()).distinct()
     codes = random_rank(dist, [], col, seed, "__code")
-    codes = codes.select(col, (F.col("__code") - 1).cast("int").alias(out))
-    return df.join(codes, col, "left")
+    codes = materialize(codes.select(col, (F.col("__code") - 1).cast("int").alias(out)), "dictionary")
+    return df.join(checked_broadcast(codes), col, "left")

@@ -113,12 +113,14 @@ def pattern_keys(df: DataFrame, key: str = "key", text: str = "text",
 
 
 def _cnt(t: Column, rx: str) -> Column:
-    """Non-overlapping match count. Literal patterns are counted without the
-    regex engine: (length - length(replace)) / len(pattern), same result."""
+    """Non-overlapping match count. Short ASCII literal patterns are counted
+    without the regex engine: removed bytes / pattern length (``octet_length``
+    is O(1) on UTF-8 strings); same result as the regex count."""
     lit = rx.replace("\\", "")
-    if len(lit) <= 2 and lit.isprintable() and not any(ch in rx for ch in "[]|?*+.{}%"):
-        return ((F.length(t) - F.length(F.replace(t, F.lit(lit), F.lit("")))) / F.lit(len(lit))) \
-            .cast("bigint")
+    if (len(lit) <= 2 and lit.isascii() and lit.isprintable()
+            and not any(ch in rx for ch in "[]|?*+.{}%")):
+        removed = F.octet_length(t) - F.octet_length(F.replace(t, F.lit(lit), F.lit("")))
+        return (removed / F.lit(len(lit))).cast("bigint")
     return F.regexp_count(t, F.lit(rx)).cast("bigint")
 
 

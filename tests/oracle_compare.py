@@ -80,8 +80,15 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
     from screenlake.plans.catalog import QUERIES
-    from screenlake.session import get_spark
-    spark = get_spark("local[8]", 8)
+    if os.environ.get("PLAIN_SESSION"):
+        # what a driver might use: builder defaults, nothing from get_spark
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false") \
+            .config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from screenlake.session import get_spark
+        spark = get_spark("local[8]", 8)
     con = duck(sf_dir)
     bad = 0
     for n in names or list(QUERIES):

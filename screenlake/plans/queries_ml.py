@@ -11,7 +11,8 @@ from screenlake.operators import metrics as M
 from screenlake.operators import train as T
 from screenlake.plans import views as V
 from screenlake.plans.catalog import register
-from screenlake.plans.screen import SMALL_TRAINER, ScreenConfig, materialize, run_screen, write_template
+from screenlake.plans.screen import (SMALL_TRAINER, ScreenConfig, materialize, run_screen,
+                                     validate_small, write_template)
 from screenlake.session import shared_dir
 
 N_FOLDS = 3
@@ -103,3 +104,10 @@ def q_run_screen(spark, sf):
     u = V.unlabelled(spark, sf)
     out = run_screen(V.docs(spark, sf), u, cfg, write_template(spark, u))
     return out["oof_auc"]
+
+
+@register("validate_small")
+def q_validate_small(spark, sf):
+    # batches of 100 documents in key order over the whole labelled table
+    return validate_small(V.docs(spark, sf), V.DOC_GROUPS, n_rows=2_000_000, batch_size=100,
+                          negative_ratio=20, n_folds=3)

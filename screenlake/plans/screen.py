@@ -88,3 +88,35 @@ def write_template(spark: SparkSession, unlabelled: DataFrame) -> DataFrame:
     t = unlabelled.select(F.col("key").cast("int").alias("id"),
                           F.lit(0.5).cast("float").alias("binds")).distinct()
     return SF.read_template(spark, SF.write_csv(t, shared_dir(spark, "template"), "id"))
+
+
+def validate_small(labelled: DataFrame, groups: list[str], n_rows: int = 2_000_000,
+                   batch_size: int = 500_000, negative_ratio: int = 20, n_folds: int = 5,
+                   seed: int = 42, trainer: T.TrainerConfig | None = None,
+                   min_positives: int = 50) -> DataFrame:
+    """The small validation run: whole batches up to ``n_rows`` in key order
+    (W8), per-batch sampling with ``label == 0`` negatives (W9), the positives
+    guard (F10), stratified folds (W7), per-fold fit and score (ML7), per-group
+    AUC per fold and their summary (A6-A8). Rows need (key, grp, label, text).
+
+    With fewer than ``min_positives`` positives it stops and returns an empty
+    summary, as the reference returns without results."""
+    from screenlake.operators import profile as P
+    trainer = trainer or SMALL_TRAINER
+    rows = S.prefix_batches(labelled, n_rows, batch_size).drop("pos")
+    s = materialize(S.chunk_sample(rows, chunk_size=batch_size, negative_ratio=negative_ratio,
+                                   seed=seed, negatives="zero")
+                    .select("key", "grp", "label", "text"), "validation-sample")
+    n_pos = s.where(F.col("label") == 1).count()
+    if n_pos < min_positives:
+        empty = labelled.sparkSession.createDataFrame(
+            [], "metric string, mean double, std double, min double, max double, n_folds bigint")
+        return empty
+    s = FO.stratified_folds(s, n_folds=n_folds, seed=seed)
+    feats = materialize(T.ml_features(s, groups).select("key", "grp", "label", "fold", "features"),
+                        "validation-features", sort_within=["key"])
+    _, preds = T.cross_validate(feats, trainer, n_folds, parallelism=n_folds)
+    oof = materialize(E.attach_oof(feats.select("key", "grp", "label", "fold"),
+                                   preds.select("key", "pred")), "validation-oof")
+    per_fold = M.group_auc(oof, ["fold", "grp"], "label", "oof_pred")
+    return M.cv_summary(M.metrics_long(per_fold, "grp", "auc", by="fold"))

@@ -111,3 +111,19 @@ def q_validate_small(spark, sf):
     # batches of 100 documents in key order over the whole labelled table
     return validate_small(V.docs(spark, sf), V.DOC_GROUPS, n_rows=2_000_000, batch_size=100,
                           negative_ratio=20, n_folds=3)
+
+
+@register("quick_screen")
+def q_quick_screen(spark, sf):
+    # quick mode: labelled rows as header CSV read back with declared types,
+    # no sampling, its first 50 rows (by key) as the mock test set (smoke only:
+    # those rows were also trained on), submission built from the test keys
+    from screenlake.sources import files as SF
+    d = V.docs(spark, sf).select("key", "grp", "label", "text")
+    path = SF.write_csv(d, shared_dir(spark, "quick-csv"))
+    schema = "key BIGINT, grp STRING, label TINYINT, text STRING"
+    train = spark.read.schema(schema).option("header", True).option("multiLine", True) \
+        .option("escape", '"').csv(path)
+    test = SF.read_small_csv(spark, path, schema, first_n=50, order_by="key").drop("label")
+    cfg = ScreenConfig(n_folds=2, trainer=SMALL_TRAINER, sample=False)
+    return run_screen(train, test, cfg)["submission"]

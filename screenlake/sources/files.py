@@ -16,7 +16,8 @@ def read_template(spark: SparkSession, path: str, schema: str = TEMPLATE_SCHEMA)
 def read_small_csv(spark: SparkSession, path: str, schema: str, first_n: int | None = None,
                    order_by: str | None = None) -> DataFrame:
     """Header CSV with a declared schema; optional first rows as a mock set."""
-    df = spark.read.schema(schema).option("header", True).csv(path)
+    df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
+          .option("escape", '"').csv(path))
     return df.orderBy(order_by or df.columns[0]).limit(first_n) if first_n else df
 
 
@@ -24,7 +25,7 @@ def write_csv(df: DataFrame, path: str, order_by: str | None = None) -> str:
     """Header CSV. Row order inside the files follows ``order_by`` (a range
     sort, parallel); consumers must not rely on file order beyond that."""
     out = df.orderBy(order_by) if order_by else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
 
 

@@ -110,3 +110,12 @@ def test_grams_are_code_point_substrings(spark):
     for i, t in enumerate(texts):
         n = re.sub("[0-9]", "0", t)
         assert got[i] == [n[j:j + 4] for j in range(len(n) - 3)]
+
+
+def test_csv_roundtrip_keeps_whole_texts(spark):
+    from screenlake.plans import views as V
+    d = V.docs(spark, "/root/testdata/sf0.01").select("key", "grp", "label", "text")
+    path = SF.write_csv(d, shared_dir(spark, "t-csv"))
+    back = SF.read_small_csv(spark, path, "key BIGINT, grp STRING, label INT, text STRING")
+    assert back.count() == d.count()
+    assert back.exceptAll(d).count() == 0 and d.exceptAll(back).count() == 0

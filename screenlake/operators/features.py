@@ -78,7 +78,7 @@ def grams(text, q: int = GRAM) -> Column:
     (whole text), in one linear regex pass: every match consumes exactly one
     character (code point, so surrogate pairs stay whole) and its look-ahead
     captures the q characters starting there."""
-    norm = F.regexp_replace(_c(text), "[0-9]", "0")
+    norm = F.translate(_c(text), "123456789", "000000000")     # digits -> '0', no regex
     return F.coalesce(F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{q}}}))."), 1),
                       F.array().cast("array<string>"))
 

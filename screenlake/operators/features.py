@@ -69,8 +69,7 @@ def text_is_valid(text) -> Column:
     parentheses balance."""
     t = _c(text)
     return (t.isNotNull() & (F.length(F.trim(t)) > 0)
-            & (F.regexp_count(t, F.lit(r"\(")) == F.regexp_count(t, F.lit(r"\)")))
-            & (F.regexp_count(t, F.lit(r"\[")) == F.regexp_count(t, F.lit(r"\]"))))
+            & (_cnt(t, r"\(") == _cnt(t, r"\)")) & (_cnt(t, r"\[") == _cnt(t, r"\]")))
 
 
 def grams(text, q: int = GRAM) -> Column:
@@ -106,24 +105,47 @@ def pattern_keys(df: DataFrame, key: str = "key", text: str = "text",
     """FP2: ``(key, key_id)`` for every pattern whose match count reaches its
     minimum. The pattern table is evaluated as one projection per row."""
     pats = patterns or DEFAULT_PATTERNS
-    hits = F.array(*[F.when(F.regexp_count(F.col(text), F.lit(r)) >= F.lit(m), F.lit(i))
+    hits = F.array(*[F.when(_cnt(F.col(text), r) >= F.lit(m), F.lit(i))
                      for i, r, m in pats])
     on = F.filter(hits, lambda x: x.isNotNull())
     return df.select(key, F.explode(on.cast("array<int>")).alias("key_id"))
 
 
+def _literal(rx: str) -> str | None:
+    """The plain text a regex matches when it has no metacharacters (escapes
+    like ``\\(`` allowed), else None."""
+    import re
+    if any(ch in re.sub(r"\\.", "", rx) for ch in "[](){}|?*+.^$"):
+        return None
+    lit = re.sub(r"\\(.)", r"\1", rx)
+    return lit if lit and lit.isascii() and lit.isprintable() else None
+
+
 def _cnt(t: Column, rx: str) -> Column:
-    """Non-overlapping match count. Short ASCII literal patterns are counted
-    without the regex engine: removed bytes / pattern length (``octet_length``
-    is O(1) on UTF-8 strings); same result as the regex count."""
-    lit = rx.replace("\\", "")
-    if (len(lit) <= 2 and lit.isascii() and lit.isprintable()
-            and not any(ch in rx for ch in "[]|?*+.{}%")):
+    """Non-overlapping match count. ASCII literal patterns are counted without
+    the regex engine: removed bytes / pattern length (``replace`` also removes
+    leftmost non-overlapping occurrences; ``octet_length`` is O(1) on UTF-8)."""
+    lit = _literal(rx)
+    if lit is not None:
         removed = F.octet_length(t) - F.octet_length(F.replace(t, F.lit(lit), F.lit("")))
         return (removed / F.lit(len(lit))).cast("bigint")
     return F.regexp_count(t, F.lit(rx)).cast("bigint")
 
 
+# Single characters that are tokens of their own (or start one: Br, Cl).
+TOKEN_CHARS = "BCNOSPFIbcnosp().=#-+\\/:~@?>*$"
+
+
+def _chars_in(t: Column, chars: str) -> Column:
+    """Occurrences of any of the ASCII ``chars`` (one ``translate`` deletion)."""
+    return (F.octet_length(t) - F.octet_length(F.translate(t, chars, ""))).cast("bigint")
+
+
+def _regex_if(t: Column, marker: str, rx: str, otherwise: Column) -> Column:
+    """The regex count only where ``marker`` occurs; exact ``otherwise`` elsewhere."""
+    return F.when(t.contains(marker), F.regexp_count(t, F.lit(rx)).cast("bigint")).otherwise(otherwise)
+
+
 def descriptor_columns(text) -> list[Column]:
     """FP4: token-class counts of a line-notation string, null/blank -> zeros.
 
@@ -138,16 +160,24 @@ def descriptor_columns(text) -> list[Column]:
     n_f, n_i, n_p = _cnt(t, "F"), _cnt(t, "I"), _cnt(t, "P")
     aro = {a: _cnt(t, a) for a in ("c", "n", "o", "s", "p")}
     n_aro = aro["c"] + aro["n"] + aro["o"] + aro["s"] + aro["p"]
-    n_bracket = _cnt(t, r"\[[^\]]+\]")
+    zero = F.lit(0).cast("bigint")
+    n_bracket = _regex_if(t, "[", r"\[[^\]]+\]", zero)
+    n_digits = _chars_in(t, "0123456789")
+    n_pct = _regex_if(t, "%", "%[0-9]{2}", zero)
+    ring = n_digits - n_pct              # = count of '%[0-9]{2}|[0-9]'
+    # tokens: without brackets every token is one alphabet character, a digit or
+    # a '%dd' group; bracket atoms need the tokenizer itself
+    tokens = _regex_if(t, "[", TOKEN_RE, _chars_in(t, TOKEN_CHARS) + ring)
     heavy = n_c + n_b + n_n + n_o + n_s + n_f + n_i + n_p + n_cl + n_br + n_aro + n_bracket
     w = ATOMIC_WEIGHTS
     mass = (F.lit(w["C"]) * (n_c + aro["c"]) + F.lit(w["N"]) * (n_n + aro["n"])
             + F.lit(w["O"]) * (n_o + aro["o"]) + F.lit(w["S"]) * (n_s + aro["s"])
             + F.lit(w["P"]) * (n_p + aro["p"]) + F.lit(w["B"]) * n_b + F.lit(w["F"]) * n_f
             + F.lit(w["Cl"]) * n_cl + F.lit(w["Br"]) * n_br + F.lit(w["I"]) * n_i)
-    cols = [_cnt(t, TOKEN_RE), heavy, n_c + aro["c"], n_n + aro["n"], n_o + aro["o"],
-            n_s + aro["s"], n_f + n_cl + n_br + n_i, n_aro, _cnt(t, "%[0-9]{2}|[0-9]"),
-            _cnt(t, r"\("), _cnt(t, "="), _cnt(t, "#"), _cnt(t, r"\[[^\]]*[+-][^\]]*\]"),
+    cols = [tokens, heavy, n_c + aro["c"], n_n + aro["n"], n_o + aro["o"],
+            n_s + aro["s"], n_f + n_cl + n_br + n_i, n_aro, ring,
+            _cnt(t, r"\("), _cnt(t, "="), _cnt(t, "#"),
+            _regex_if(t, "[", r"\[[^\]]*[+-][^\]]*\]", zero),
             _cnt(t, "@"), F.when(t.contains("[Dy]"), 1).otherwise(0).cast("bigint"),
             F.round(mass, 6)]
     return [c.alias(n) for c, n in zip(cols, DESCRIPTOR_NAMES)]

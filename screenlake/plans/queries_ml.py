@@ -12,7 +12,7 @@ from screenlake.operators import train as T
 from screenlake.plans import views as V
 from screenlake.plans.catalog import register
 from screenlake.plans.screen import (SMALL_TRAINER, ScreenConfig, materialize, run_screen,
-                                     validate_small, write_template)
+                                     small_validation, write_template)
 from screenlake.session import shared_dir
 
 N_FOLDS = 3
@@ -106,10 +106,10 @@ def q_run_screen(spark, sf):
     return out["oof_auc"]
 
 
-@register("validate_small")
-def q_validate_small(spark, sf):
+@register("small_validation")
+def q_small_validation(spark, sf):
     # batches of 100 documents in key order over the whole labelled table
-    return validate_small(V.docs(spark, sf), V.DOC_GROUPS, n_rows=2_000_000, batch_size=100,
+    return small_validation(V.docs(spark, sf), V.DOC_GROUPS, n_rows=2_000_000, batch_size=100,
                           negative_ratio=20, n_folds=3)
 
 

@@ -90,7 +90,7 @@ def write_template(spark: SparkSession, unlabelled: DataFrame) -> DataFrame:
     return SF.read_template(spark, SF.write_csv(t, shared_dir(spark, "template"), "id"))
 
 
-def validate_small(labelled: DataFrame, groups: list[str], n_rows: int = 2_000_000,
+def small_validation(labelled: DataFrame, groups: list[str], n_rows: int = 2_000_000,
                    batch_size: int = 500_000, negative_ratio: int = 20, n_folds: int = 5,
                    seed: int = 42, trainer: T.TrainerConfig | None = None,
                    min_positives: int = 50) -> DataFrame:

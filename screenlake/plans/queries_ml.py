@@ -50,7 +50,7 @@ def q_feature_importance(spark, sf):
 
 @register("alt_trainer")
 def q_alt_trainer(spark, sf):
-    cfg = T.TrainerConfig("xgb", {"maxIter": 8, "maxDepth": 5, "stepSize": 0.2})
+    cfg = T.TrainerConfig("deep", {"maxIter": 8, "maxDepth": 5, "stepSize": 0.2})
     m, va = _fit0(spark, sf, cfg)
     return T.predict_proba(m, va).select("key", "grp", "label", "pred")
 

@@ -61,3 +61,19 @@ def test_stream_chunk_sample_end_to_end(spark):
     out = spark.read.parquet(sink)
     assert out.where("label = 1").count() == d.where("label = 1").count()
     assert out.select("chunk_id").distinct().count() == 3
+
+
+def test_run_screen_end_to_end(spark):
+    from conftest import SF001
+    from screenlake.plans.screen import SMALL_TRAINER, ScreenConfig, run_screen, write_template
+    u = V.unlabelled(spark, SF001)
+    cfg = ScreenConfig(n_folds=2, trainer=SMALL_TRAINER, max_positive=None)
+    out = run_screen(V.docs(spark, SF001), u, cfg, write_template(spark, u))
+    sub = out["submission"]
+    assert sub.count() == u.count()
+    assert sub.where((F.col("binds") < 1e-6 * 0.999) | (F.col("binds") > 1 - 1e-6 * 0.999)
+                     | F.col("binds").isNull()).count() == 0
+    oof = out["oof"]
+    assert oof.where(F.col("oof_pred").isNull()).count() == 0
+    metrics = {r.metric for r in out["cv_summary"].collect()}
+    assert "mean_auc" in metrics and "en_auc" in metrics

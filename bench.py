@@ -26,7 +26,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "4"))
     from pyspark.sql import SparkSession
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("screenlake-bench")
-             .config("spark.driver.memory", os.environ.get("BENCH_MEM", "6g"))
+             .config("spark.driver.memory", os.environ.get("BENCH_MEM", "4g"))
              .config("spark.sql.shuffle.partitions", str(max(4, 2 * cpus)))
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")

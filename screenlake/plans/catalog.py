@@ -146,16 +146,17 @@ TOTAL_CAP = 1000           # kept-row cap
 
 
 def _strat_sql(cap: int | None) -> str:
-    kp = f"least(n, {cap})" if cap is not None else "n"
+    def kp(n: str) -> str:           # kept positives of a stratum with ``n`` positives
+        return f"least({n}, {cap})" if cap is not None else n
     return f"""
 WITH a AS (SELECT * FROM {V.ASSAY_SQL} WHERE label IN (0, 1) AND grp IN ('F', 'O', 'P')),
 r AS (SELECT key, grp, label,
              row_number() OVER (PARTITION BY grp, label ORDER BY {_kh('key')}, key) AS rn FROM a),
 t AS (SELECT grp, label, count(*) AS n FROM a GROUP BY grp, label),
 q AS (SELECT t.grp, t.label,
-             CASE WHEN t.label = 1 THEN {kp.replace('n', 't.n')}
+             CASE WHEN t.label = 1 THEN {kp('t.n')}
                   ELSE least(t.n, 5 * coalesce(p.kp, 0)) END AS quota
-      FROM t LEFT JOIN (SELECT grp, {kp} AS kp FROM t WHERE label = 1) p ON t.grp = p.grp)
+      FROM t LEFT JOIN (SELECT grp, {kp('n')} AS kp FROM t WHERE label = 1) p ON t.grp = p.grp)
 SELECT r.key, r.grp, r.label, r.rn::bigint AS rn
 FROM r JOIN q ON r.grp = q.grp AND r.label = q.label WHERE r.rn <= q.quota"""
 

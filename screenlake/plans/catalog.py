@@ -135,8 +135,7 @@ from screenlake.operators import profile as P  # noqa: E402
 from screenlake.operators import sampling as S  # noqa: E402
 
 
-def _kh(expr: str, seed: int = 42) -> str:
-    return f"md5('{seed}:' || ({expr})::varchar)"
+from screenlake.plans.sql_text import kh as _kh  # noqa: E402
 
 
 SAMPLE_CAP = 60            # binds at sf0.01 (about 97 positives per group)

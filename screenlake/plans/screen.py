@@ -59,9 +59,9 @@ def run_screen(labelled: DataFrame, unlabelled: DataFrame, cfg: ScreenConfig,
     test = materialize(T.ml_features(unlabelled, cfg.groups, nbits=cfg.nbits)
                        .select("key", "features"), "test-features")
     ens = materialize(E.ensemble_mean(T.ensemble_scores(models, test)), "ensemble")
-    if template is None:
-        template = unlabelled.select(F.col("key").cast("int").alias("id")).distinct()
-    sub = E.create_submission(template, ens.select(F.col("key").cast("int").alias("id"),
+    if template is None:     # keys keep their own type (no narrowing cast that could overflow)
+        template = unlabelled.select(F.col("key").alias("id")).distinct()
+    sub = E.create_submission(template, ens.select(F.col("key").alias("id"),
                                                    F.col("ensemble").alias("pred")), "id", "pred")
     return {"oof": oof, "fold_metrics": fold_metrics, "cv_summary": M.cv_summary(fold_metrics),
             "oof_auc": E.oof_group_auc(oof, groups=cfg.groups), "ensemble": ens,

@@ -77,3 +77,12 @@ def test_run_screen_end_to_end(spark):
     assert oof.where(F.col("oof_pred").isNull()).count() == 0
     metrics = {r.metric for r in out["cv_summary"].collect()}
     assert "mean_auc" in metrics and "en_auc" in metrics
+
+
+def test_submission_keeps_wide_keys(spark):
+    from screenlake.operators import ensemble as E
+    big = 2 ** 40
+    t = spark.createDataFrame([(big + 1,), (big + 2,)], "id long")
+    p = spark.createDataFrame([(big + 1, 0.3), (big + 2, 0.9)], "id long, pred double")
+    out = {r.id: r.binds for r in E.create_submission(t, p, "id", "pred").collect()}
+    assert set(out) == {big + 1, big + 2}

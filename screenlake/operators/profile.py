@@ -22,8 +22,8 @@ def _label_aggs(label: str):
 
 def _finish(df: DataFrame, *keep: str) -> DataFrame:
     neg = (F.col("n_rows") - F.col("n_pos")).cast("bigint")
-    pct = F.round(F.lit(100.0) * F.col("n_pos").cast("double") / F.col("n_rows").cast("double"),
-                  RATIO_DP)
+    pct = F.round(F.try_divide(F.lit(100.0) * F.col("n_pos").cast("double"),
+                               F.col("n_rows").cast("double")), RATIO_DP)
     ratio = F.when(F.col("n_pos") > 0,
                    F.round(neg.cast("double") / F.col("n_pos").cast("double"), RATIO_DP)) \
         .otherwise(F.lit(float("inf")))
@@ -129,5 +129,5 @@ def invalid_text_rate(df: DataFrame, text: str = "text", by: list[str] | None =
     return df.groupBy(*(by or [])).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_rows"),
         F.sum(F.when(bad, 1).otherwise(0)).cast("bigint").alias("n_invalid")) \
-        .withColumn("pct_invalid", F.round(F.lit(100.0) * F.col("n_invalid").cast("double")
-                                           / F.col("n_rows").cast("double"), RATIO_DP))
+        .withColumn("pct_invalid", F.round(F.try_divide(F.lit(100.0) * F.col("n_invalid").cast("double"),
+                                                        F.col("n_rows").cast("double")), RATIO_DP))

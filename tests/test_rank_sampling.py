@@ -128,3 +128,12 @@ def test_guards_and_small_helpers(spark):
     assert j.count() == 0
     s = a.select(FO.stratum_key("grp", "label").alias("s")).distinct()
     assert sorted(r.s for r in s.collect()) == ["F_0", "F_1", "O_0", "O_1", "P_0", "P_1"]
+
+
+def test_profiles_on_empty_input(spark):
+    from screenlake.operators import profile as P
+    empty = spark.createDataFrame([], "key long, grp string, label int, text string")
+    r = P.label_profile(empty).first()
+    assert r.n_rows == 0 and r.pct_pos is None and r.neg_per_pos == float("inf")
+    assert P.invalid_text_rate(empty).first().pct_invalid is None
+    assert S.stratified_sample(empty, max_positive=10).count() == 0

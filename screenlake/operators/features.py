@@ -193,6 +193,14 @@ def text_descriptors(df: DataFrame, key: str = "key", text: str = "text") -> Dat
 KernelFn = Callable[[pd.DataFrame], pd.DataFrame]
 
 
+def _ship_by_value() -> None:
+    """Serialize this package's functions (the default kernel) with their code,
+    so Python workers do not need ``screenlake`` on their import path."""
+    import screenlake
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(screenlake)
+
+
 def basic_text_kernel(pdf: pd.DataFrame) -> pd.DataFrame:
     """Default per-string kernel: whole-text counts computed in pandas."""
     s = pdf["text"].fillna("")
@@ -215,6 +223,7 @@ def distinct_featurize(df: DataFrame, text: str = "text", kernel: KernelFn = bas
     executors; the distinct is a shuffle that spreads strings by hash.
     """
     dist = df.select(F.col(text).alias("text")).where(F.col("text").isNotNull()).distinct()
+    _ship_by_value()
 
     def run(batches):
         for pdf in batches:

@@ -119,3 +119,22 @@ def test_csv_roundtrip_keeps_whole_texts(spark):
     back = SF.read_small_csv(spark, path, "key BIGINT, grp STRING, label INT, text STRING")
     assert back.count() == d.count()
     assert back.exceptAll(d).count() == 0 and d.exceptAll(back).count() == 0
+
+
+def test_checked_broadcast_both_branches(spark):
+    from screenlake.session import checked_broadcast, materialize
+    big = spark.range(0, 5000).withColumn("g", F.col("id") % 7)
+    small = materialize(spark.range(0, 7).withColumnRenamed("id", "g").withColumn("v", F.col("g") * 10),
+                        "t-small")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = big.join(checked_broadcast(small, max_rows=100), "g")
+        b = big.join(checked_broadcast(small, max_rows=3), "g")     # over the bound: shuffle join
+        pa = a._jdf.queryExecution().executedPlan().toString()
+        pb = b._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in pa and "BroadcastHashJoin" not in pb
+        assert a.exceptAll(b).count() == 0 and a.count() == 5000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

@@ -49,3 +49,30 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op7_simhash, op9_token_files, op10_decontamination)}
+
+
+# One DuckDB query per operator that SQL can express; see tests/llm for the others.
+ORACLE: dict[str, str] = {}
+
+# Words as above, windows as space-joined strings; a hit word is one inside a found window.
+ORACLE["op10_decontamination"] = r"""
+with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+items as (select distinct item_id, least(10, len(w)) as size, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') as win
+          from b, unnest(range(1, len(w) - least(10, len(w)) + 2)) as t(i) where len(w) > 0),
+sizes as (select distinct size from items),
+found as (select d.doc_id, i, s.size, array_to_string(w[i : i + s.size - 1], ' ') as win
+          from d, sizes s, unnest(range(1, len(w) - s.size + 2)) as t(i) where len(w) >= s.size),
+hits as (select f.doc_id, f.i, f.size, x.item_id from found f join items x on f.win = x.win and f.size = x.size),
+hit_words as (select doc_id, count(distinct k) as n_hit from hits, unnest(range(i, i + size)) as t(k) group by doc_id),
+hit_items as (select doc_id, count(*) as n_items, sha256(string_agg(item, ',' order by item)) as items_sha256
+              from (select distinct doc_id, item_id::varchar as item from hits) group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       coalesce(items_sha256, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit_words using (doc_id) left join hit_items using (doc_id)
+"""
+
+# Sizes, targets by the fixed point (a source above its cap stops there, at most once each), and
+# what the mix must satisfy; which documents are taken is drawn by hashes, so only sums are compared in tests.

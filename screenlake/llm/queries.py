@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenlake.llm import decontaminate as DC
+from screenlake.llm import langid as LI
 from screenlake.llm import mixing as MX
+from screenlake.llm import order_minhash as OM
 from screenlake.llm import simhash as SH
 from screenlake.llm import token_pack as TP
 from screenlake.llm import toxicity as TX
@@ -32,11 +34,19 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MX.taken(MX.mix_plan(table(spark, sf_dir, "documents")))
 
 
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return OM.edited_pairs(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = SH.simhash_components(table(spark, sf_dir, "documents"))
     return parts.select("doc_id", SH.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LI.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TP.token_files(table(spark, sf_dir, "documents"), vocab_path(), VOCAB_SIZE)
 
@@ -48,7 +58,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         DC.item_digest().alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op7_simhash, op9_token_files, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op6_order_minhash, op7_simhash, op8_language, op9_token_files, op10_decontamination)}
 
 
 # One DuckDB query per operator that SQL can express; see tests/llm for the others.
@@ -73,6 +83,3 @@ select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
        coalesce(items_sha256, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join hit_words using (doc_id) left join hit_items using (doc_id)
 """
-
-# Sizes, targets by the fixed point (a source above its cap stops there, at most once each), and
-# what the mix must satisfy; which documents are taken is drawn by hashes, so only sums are compared in tests.

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from screenlake.llm import decontaminate as DC
 from screenlake.llm import langid as LI
+from screenlake.llm import line_dedup as LD
 from screenlake.llm import mixing as MX
 from screenlake.llm import order_minhash as OM
+from screenlake.llm import paragraph_dedup as PD
 from screenlake.llm import simhash as SH
 from screenlake.llm import token_pack as TP
 from screenlake.llm import toxicity as TX
@@ -34,6 +36,14 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MX.taken(MX.mix_plan(table(spark, sf_dir, "documents")))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LD.line_report(table(spark, sf_dir, "documents"))
+
+
+def op5_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PD.paragraph_report(table(spark, sf_dir, "documents"))
+
+
 def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return OM.edited_pairs(table(spark, sf_dir, "documents"))
 
@@ -58,7 +68,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         DC.item_digest().alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op6_order_minhash, op7_simhash, op8_language, op9_token_files, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op4_line_dedup, op5_paragraph_dedup, op6_order_minhash, op7_simhash,
+                                   op8_language, op9_token_files, op10_decontamination)}
 
 
 # One DuckDB query per operator that SQL can express; see tests/llm for the others.

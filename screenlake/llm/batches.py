@@ -33,7 +33,7 @@ def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES
     """Yield ``(rows, bytes, offs)``; a null text has no bytes."""
     if batch.num_rows == 0:
         return
-    text = batch.column(batch.schema.get_field_index(column)).cast(pa.large_string()).fill_null("")
+    text = batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary()).fill_null(b"")
     text = pa.concat_arrays([text])
     n = len(text)
     offs = np.frombuffer(text.buffers()[1], np.int64, n + 1 + text.offset)[text.offset:]

@@ -12,6 +12,7 @@ from screenlake.llm import mixing as MX
 from screenlake.llm import order_minhash as OM
 from screenlake.llm import paragraph_dedup as PD
 from screenlake.llm import simhash as SH
+from screenlake.llm import suffix_dedup as SD
 from screenlake.llm import token_pack as TP
 from screenlake.llm import toxicity as TX
 
@@ -36,6 +37,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MX.taken(MX.mix_plan(table(spark, sf_dir, "documents")))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SD.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LD.line_report(table(spark, sf_dir, "documents"))
 
@@ -68,7 +73,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         DC.item_digest().alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op4_line_dedup, op5_paragraph_dedup, op6_order_minhash, op7_simhash,
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_suffix_dedup, op4_line_dedup, op5_paragraph_dedup, op6_order_minhash, op7_simhash,
                                    op8_language, op9_token_files, op10_decontamination)}
 
 

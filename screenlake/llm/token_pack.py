@@ -34,8 +34,8 @@ from screenlake.session import shared_dir
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
-KEPT_RUNS = 1 << 21
-ENCODE_PIECE = 1 << 22
+KEPT_RUNS = 1 << 20
+ENCODE_PIECE = 1 << 21
 
 
 def id_width(vocab_size: int) -> int:

@@ -86,23 +86,27 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Null texts count as empty; of several rows with one id the one with the least
     text hash is the "next document" of the id before; an empty table gives an empty
     one; further columns are ignored."""
-    src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))
-    need = src.groupBy("doc_id").agg(F.max(F.floor(F.col("n_chars") / 4)).alias("need"))
-    pair = materialize(followers(docs.select(F.col(id_col).alias("doc_id"))).join(need.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id"), "omh-next")
-    # each document hands its start to the one before it: as much as that one replaces
-    asked = pair.select(F.col("next_id").alias("__at"), F.col("doc_id").alias("__for"), F.col("need").alias("__need"))
-    given = src.join(asked, F.col("doc_id").eqNullSafe(F.col("__at")))
-    given = given.select("__for", F.col("text").substr(F.lit(1), F.col("__need").cast("int")).alias("__start"), F.xxhash64("text").alias("__h"))
-    given = given.groupBy("__for").agg(F.min_by("__start", F.struct("__h", "__start")).alias("__start"))
+    key = F.coalesce(F.concat(F.lit("v"), F.col("doc_id").cast("string")), F.lit(""))      # never null: plain joins
+    src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("__k", key)
+    need = src.groupBy("__k").agg(F.max(F.floor(F.length("text") / 4)).alias("need"))
+    pair = followers(src).withColumn("__k", key).join(need, "__k")
+    pair = materialize(pair.select("__k", F.coalesce(F.concat(F.lit("v"), F.col("next_id").cast("string")), F.lit("")).alias("__next_k"), "need"), "omh-next")
+    # one exchange of the texts serves both joins, as both read the same columns (doc_id
+    # too). First each document hands its start to the one before it: as much as that one replaces
+    dealt = src.repartition("__k")
+    asked = pair.select(F.col("__next_k").alias("__k"), F.col("__k").alias("__for"), F.col("need").alias("__need"))
+    given = dealt.join(asked, "__k")
+    given = given.select("__for", F.col("text").substr(F.lit(1), F.col("__need").cast("int")).alias("__start"), F.struct(F.xxhash64("text").alias("h"), F.col("doc_id").alias("of")).alias("__h"))
+    given = given.groupBy(F.col("__for").alias("__k")).agg(F.min_by("__start", F.struct("__h", "__start")).alias("__start"))
+    edited = dealt.join(given, "__k").withColumn("n_chars", F.length("text").cast("bigint"))
     n, q = F.col("n_chars").cast("int"), F.floor(F.col("n_chars") / 4).cast("int")
-    edited = src.join(given, F.col("doc_id").eqNullSafe(F.col("__for")))
     edited = edited.withColumn("edited", F.concat(F.col("text").substr(F.lit(1), n - q), F.col("__start").substr(F.lit(1), q)))
-    done = materialize(edited.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.xxhash64("text").alias("__h"),
+    done = materialize(edited.select("__k", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.xxhash64("text").alias("__h"),
                                      F.expr(fingerprint_sql("text", **options)).alias("fingerprint"),
                                      F.expr(fingerprint_sql("edited", **options)).alias("edited_fingerprint")), "omh-done")
-    after = done.groupBy(F.col("doc_id").alias("__n")).agg(F.min_by("fingerprint", F.struct("__h", "fingerprint")).alias("__next"))
-    after = after.join(pair.select("doc_id", "next_id").withColumnRenamed("doc_id", "__before"), F.col("__n").eqNullSafe(F.col("next_id"))).select("__before", "__next")
-    out = done.join(after, F.col("doc_id").eqNullSafe(F.col("__before")))
+    after = done.groupBy(F.col("__k").alias("__next_k")).agg(F.min_by("fingerprint", F.struct("__h", "fingerprint")).alias("__next"))
+    after = after.join(pair.select("__k", "__next_k"), "__next_k").select("__k", "__next")
+    out = done.join(after, "__k")
     return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                       likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
                       likeness(F.col("fingerprint"), F.col("__next")).alias("near_next"))

@@ -12,8 +12,10 @@ share an anchor; such a run of windows with its bytes is a context.
    a task takes whole anchors up to about ``SHARD_BYTES``, builds their suffix array by
    induced sorting, and the permuted common prefixes tell which windows are repeated:
    a neighbour shares ``LENGTH`` bytes, or the context itself has a weight above one.
-3. An anchor with more than ``HOT`` different contexts would not fit a task: its windows
-   are counted one by one instead, by a 128-bit hash, which any number of tasks can do.
+3. An anchor with more than ``HOT`` different contexts would not fit a task. Its contexts
+   are cut into blocks of ``BLOCK`` windows; the bytes that all windows of a block have in
+   common join the key, and the parts go through step 2 again. Where even those are too
+   many, their windows are counted one by one by a 128-bit hash, in any number of tasks.
 4. The repeated windows of a context are one interval (any two of them overlap); the
    intervals of a document are joined and cut out.
 """
@@ -37,6 +39,7 @@ LENGTH = 200
 GRAM = 32
 SHARD_BYTES = 1 << 20
 HOT = 2000
+BLOCK = 16
 BROADCAST_BYTES = 64 << 20
 _SECOND = np.uint64(0xD1B54A32D192ED03)
 
@@ -55,11 +58,11 @@ def parts(batch: pa.RecordBatch, length: int):
 
 def anchors(data: np.ndarray, offs: np.ndarray, length: int, gram: int):
     """Runs of windows with one anchor: anchor key, document, first and last window
-    start; and the prefix sums of the bytes."""
+    start, place of the anchor after the first; and the prefix sums of the bytes."""
     none = np.zeros(0, np.int64)
     pre = prefix_hash(data)
     if data.size < length:
-        return np.zeros(0, np.uint64), none, none, none, pre
+        return np.zeros(0, np.uint64), none, none, none, none, pre
     i = np.arange(data.size - gram + 1)
     h = span_hash(pre, i, i + gram)
     low = (h & ~np.uint64(0xFFFFFFFF)) | i.astype(np.uint64)      # leftmost of equal ones
@@ -73,11 +76,12 @@ def anchors(data: np.ndarray, offs: np.ndarray, length: int, gram: int):
     inside = np.arange(at.size) + length <= offs[doc + 1]
     p = np.flatnonzero(inside)
     if p.size == 0:
-        return np.zeros(0, np.uint64), none, none, none, pre
+        return np.zeros(0, np.uint64), none, none, none, none, pre
     new = np.r_[True, (at[p][1:] != at[p][:-1]) | (p[1:] != p[:-1] + 1)]
     first = np.flatnonzero(new)
     last = np.append(first[1:], p.size) - 1
-    return h[at[p[first]]], doc[p[first]], p[first], p[last], pre
+    a = at[p[first]]
+    return h[a], doc[p[first]], p[first], p[last], a - p[first], pre
 
 
 def _anchor_counts(src: DataFrame, length: int, gram: int) -> DataFrame:
@@ -90,12 +94,12 @@ def _anchor_counts(src: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _contexts(src: DataFrame, kind: T.DataType, shared, length: int, gram: int) -> DataFrame:
-    """``(key, h1, h2, doc_id, th, start, bytes)``: occurrences of contexts; the bytes
-    come with the first of equal ones in a piece."""
+    """``(key, h1, h2, rel, doc_id, th, start, bytes)``: occurrences of contexts, ``rel``
+    the anchor's place; the bytes come with the first of equal ones in a piece."""
     def run(batches):
         for batch in batches:
             for rows, data, offs, base in parts(batch, length):
-                key, doc, first, last, pre = anchors(data, offs, length, gram)
+                key, doc, first, last, rel, pre = anchors(data, offs, length, gram)
                 hit = np.flatnonzero(may_hold(shared.value, key))
                 key, doc, first, stop = key[hit], doc[hit], first[hit], last[hit] + length
                 h1 = span_hash(pre, first, stop)
@@ -105,11 +109,11 @@ def _contexts(src: DataFrame, kind: T.DataType, shared, length: int, gram: int)
                 raw = data.tobytes()
                 text = [raw[a:b] if f else None for a, b, f in zip(first.tolist(), stop.tolist(), fresh.tolist())]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(key.view(np.int64)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
+                    pa.array(key.view(np.int64)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(rel[hit].astype(np.int32)),
                     rows.column(0).take(pa.array(doc)), rows.column(1).take(pa.array(doc)),
-                    pa.array(first - offs[doc] + base), pa.array(text, pa.binary())], names=["key", "h1", "h2", "doc_id", "th", "start", "bytes"])
+                    pa.array(first - offs[doc] + base), pa.array(text, pa.binary())], names=["key", "h1", "h2", "rel", "doc_id", "th", "start", "bytes"])
     long = T.LongType()
-    schema = T.StructType([T.StructField("key", long), T.StructField("h1", long), T.StructField("h2", long), T.StructField("doc_id", kind),
+    schema = T.StructType([T.StructField("key", long), T.StructField("h1", long), T.StructField("h2", long), T.StructField("rel", T.IntegerType()), T.StructField("doc_id", kind),
                            T.StructField("th", long), T.StructField("start", long), T.StructField("bytes", T.BinaryType())])
     return map_batches(src.select("doc_id", "th", "text"), run, schema)
 
@@ -163,6 +167,51 @@ def _by_suffix_array(rows: DataFrame, length: int, shard_bytes: int) -> DataFram
     return map_batches(by_key, run, "key bigint, h1 bigint, h2 bigint, first bigint, last bigint")
 
 
+def _blocks(rows: DataFrame, length: int, block: int = BLOCK) -> DataFrame:
+    """Contexts cut into blocks of windows: ``(key, h1, h2, n, bytes, k, s1, s2, off)``
+    with the part's bytes, its own key ``k``, hashes and place in the context."""
+    def run(batches):
+        for batch in batches:
+            for part, data, offs in pieces(batch, "bytes", 1 << 18):
+                rel = part.column(4).to_numpy(zero_copy_only=False).astype(np.int64)
+                n = np.diff(offs) - length + 1
+                high = rel // block                                   # of the first window
+                low = np.maximum(rel - (n - 1), 0) // block           # of the last one
+                count = high - low + 1
+                which = np.repeat(np.arange(n.size), count)
+                j = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + low[which]
+                a = np.maximum(rel[which] - block * j - block + 1, 0)
+                b = np.minimum(rel[which] - block * j, n[which] - 1) + length
+                base = offs[:-1][which]
+                pre = prefix_hash(data)
+                common = base + rel[which] - block * j
+                key = part.column(0).to_numpy(zero_copy_only=False).view(np.uint64)[which]
+                k = mix(span_hash(pre, common, common + length - block + 1) ^ (key + j.astype(np.uint64)))
+                s1 = span_hash(pre, base + a, base + b)
+                s2 = span_hash(prefix_hash(mix(data.astype(np.uint64) + _SECOND) >> np.uint64(8)), base + a, base + b)
+                raw, at = data.tobytes(), pa.array(which)
+                text = [raw[x:y] for x, y in zip((base + a).tolist(), (base + b).tolist())]
+                yield pa.RecordBatch.from_arrays([*(part.column(c).take(at) for c in range(4)), pa.array(text, pa.binary()),
+                                                  *(pa.array(x.view(np.int64)) for x in (k, s1, s2)), pa.array(a)],
+                                                 names=["key", "h1", "h2", "n", "bytes", "k", "s1", "s2", "off"])
+    src = rows.select("key", "h1", "h2", "n", "rel", "bytes")
+    return map_batches(src, run, "key bigint, h1 bigint, h2 bigint, n bigint, bytes binary, k bigint, s1 bigint, s2 bigint, off bigint")
+
+
+def _hot_intervals(rows: DataFrame, length: int, hot: int, shard_bytes: int) -> DataFrame:
+    """Intervals of contexts whose anchors have too many of them for a task."""
+    sub = materialize(_blocks(rows, length), "suffix-blocks")
+    ctx = sub.groupBy(F.col("k").alias("key"), F.col("s1").alias("h1"), F.col("s2").alias("h2")).agg(F.sum("n").alias("n"), F.min("bytes").alias("bytes"))
+    per_key = ctx.groupBy("key").agg(F.sum("n").alias("of"), F.count(F.lit(1)).alias("kinds")).filter("of > 1")
+    hits = _by_suffix_array(ctx.join(per_key.filter(F.col("kinds") <= hot).select("key"), "key"), length, shard_bytes)
+    many = materialize(per_key.filter(F.col("kinds") > hot).select("key"), "suffix-hot")
+    if not many.isEmpty():
+        hits = hits.union(_by_window(ctx.join(many, "key"), length))
+    hits = hits.select(F.col("key").alias("k"), F.col("h1").alias("s1"), F.col("h2").alias("s2"), "first", "last")
+    back = sub.select("key", "h1", "h2", "k", "s1", "s2", "off").join(hits, ["k", "s1", "s2"])
+    return back.groupBy("key", "h1", "h2").agg(F.min(F.col("off") + F.col("first")).alias("first"), F.max(F.col("off") + F.col("last")).alias("last"))
+
+
 def _by_window(rows: DataFrame, length: int) -> DataFrame:
     """The same for anchors with many contexts: windows counted by hash."""
     def run(batches):
@@ -194,14 +243,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     counts = _anchor_counts(src, length, gram).filter("n > 1")
     shared = key_filter(counts, "key", 27)
     found = materialize(_contexts(src, kind, shared, length, gram), "suffix-contexts")
-    ctx = found.groupBy("key", "h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("bytes").alias("bytes"))
+    ctx = found.groupBy("key", "h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("rel").alias("rel"), F.min("bytes").alias("bytes"))
     ctx = materialize(ctx, "suffix-distinct")
     per_key = ctx.groupBy("key").agg(F.sum("n").alias("of"), F.count(F.lit(1)).alias("kinds")).filter("of > 1")
     some = per_key.filter(F.col("kinds") <= hot).select("key")
     many = materialize(per_key.filter(F.col("kinds") > hot).select("key"), "suffix-hot")
     hits = _by_suffix_array(ctx.join(some, "key"), length, shard_bytes)
     if not many.isEmpty():
-        hits = hits.union(_by_window(ctx.join(many, "key"), length))
+        hits = hits.union(_hot_intervals(ctx.join(many, "key"), length, hot, shard_bytes))
     at = found.select("key", "h1", "h2", "doc_id", "th", "start").join(hits, ["key", "h1", "h2"])
     at = at.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct((F.col("start") + F.col("first")).alias("a"), (F.col("start") + F.col("last") + length).alias("b")))).alias("s"))
     merge = ("aggregate(s, cast(array() as array<struct<a:bigint,b:bigint>>), (acc, x) -> if(size(acc) > 0 and element_at(acc, -1).b >= x.a, "

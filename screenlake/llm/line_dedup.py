@@ -29,6 +29,7 @@ from screenlake.llm.key_filter import key_filter, may_hold
 from screenlake.session import materialize
 
 FUZZY_FROM = 16
+LINE_PIECE = 1 << 19     # code points and two prefix sums take some 60 bytes a byte
 _SIDE = np.uint64(0xA5A5A5A5A5A5A5A5)
 _SECOND = np.uint64(0xD1B54A32D192ED03)
 
@@ -72,7 +73,7 @@ def _lines(src: DataFrame, kind: str) -> DataFrame:
     a document without such lines has one row with line_no -1."""
     def run(batches):
         for batch in batches:
-            for rows, data, offs in pieces(batch):
+            for rows, data, offs in pieces(batch, limit=LINE_PIECE):
                 cp, a, b, doc, number, blank = piece_lines(data, offs)
                 n_lines = np.bincount(doc, minlength=rows.num_rows)
                 keep = np.flatnonzero(~blank)
@@ -97,7 +98,7 @@ def _candidates(src: DataFrame, kind: str, shared) -> DataFrame:
     """Lines one of whose halves may be shared by different lines, with their text."""
     def run(batches):
         for batch in batches:
-            for rows, data, offs in pieces(batch):
+            for rows, data, offs in pieces(batch, limit=LINE_PIECE):
                 cp, a, b, doc, number, blank = piece_lines(data, offs)
                 keep = np.flatnonzero(~blank & (b - a >= FUZZY_FROM))
                 h1, h2, pre = line_hashes(cp, a[keep], b[keep])

@@ -15,7 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 19
+BATCH_ROWS = 1000        # rows of an Arrow batch: texts are long, the default of 10000 holds too much
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -25,6 +26,9 @@ def map_batches(df: DataFrame, run, schema) -> DataFrame:
     env = df.sparkSession.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, env.get("PYTHONPATH", "")]))
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
     return df.mapInArrow(run, schema)
 
 

@@ -34,7 +34,7 @@ from screenlake.session import shared_dir
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
-KEPT_RUNS = 1 << 20
+KEPT_RUNS = 1 << 19
 ENCODE_PIECE = 1 << 21
 
 

@@ -182,6 +182,7 @@ def encode_blocks(docs: DataFrame, tokenizer: str, vocab_size: int, id_col: str
                     lo = hi
         if ids:
             yield flush()
+        enc.clear()                               # a worker goes on with other stages
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     ordered = src.repartitionByRange("doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     return map_batches(ordered, run, schema)

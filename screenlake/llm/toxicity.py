@@ -209,6 +209,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for part, data, offs in pieces(batch):
                 b = np.clip((evidence(data, offs, table) + 4) / 8 * BINS, 0, BINS - 1).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("label")), pa.array(b)], names=["label", "bin"])
+        _DENSE.clear()                            # 64 MB that the worker's next stage may need
     hist = map_batches(rows.filter("fold = 4").select("text", "label"), run, "label int, bin int").groupBy("label", "bin").count().collect()
     y = np.array([r["label"] for r in hist], float)
     ev = np.array([(r["bin"] + 0.5) / BINS * 8 - 4 for r in hist])
@@ -228,6 +229,7 @@ def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
             for part, data, offs in pieces(batch, "__text"):
                 s = 1 / (1 + np.exp(-np.clip(a * evidence(data, offs, table) + b, -35, 35)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s)], names=[*part.schema.names, "toxicity"])
+        _DENSE.clear()
     src = docs.drop("toxicity").withColumn("__text", F.col(text_col))
     schema = T.StructType([*src.schema.fields, T.StructField("toxicity", T.DoubleType())])
     return map_batches(src, run, schema).drop("__text")

@@ -91,9 +91,10 @@ def group_auc(df: DataFrame, group="grp", label: str = "label", score: str = "sc
     per = cum.groupBy(*gs).agg(
         F.sum("pos").cast("bigint").alias("n_pos"),
         F.sum("neg").cast("bigint").alias("n_neg"),
-        # 2 * numerator, exact in integers: pos * (2 * neg_below + neg)
-        F.sum(F.col("pos") * (2 * (F.col("cum_neg") - F.col("neg")) + F.col("neg")))
-        .cast("bigint").alias("__num2"))
+        # 2 * numerator, exact: pos * (2 * neg_below + neg) outgrows 64 bits at billions of rows
+        F.sum((F.col("pos").cast("decimal(19,0)")
+               * (2 * (F.col("cum_neg") - F.col("neg")) + F.col("neg")).cast("decimal(19,0)")).cast("decimal(38,0)"))
+        .alias("__num2"))
     if groups is not None:
         assert len(gs) == 1, "a configured group list needs one group column"
         dim = _group_dim(df.sparkSession, gs[0], groups)

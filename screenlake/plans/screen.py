@@ -109,9 +109,7 @@ def small_validation(labelled: DataFrame, groups: list[str], n_rows: int = 2_000
                     .select("key", "grp", "label", "text"), "validation-sample")
     n_pos = s.where(F.col("label") == 1).count()
     if n_pos < min_positives:
-        empty = labelled.sparkSession.createDataFrame(
-            [], "metric string, mean double, std double, min double, max double, n_folds bigint")
-        return empty
+        raise ValueError(f"{n_pos} positive rows; at least {min_positives} are needed")
     s = FO.stratified_folds(s, n_folds=n_folds, seed=seed)
     feats = materialize(T.ml_features(s, groups).select("key", "grp", "label", "fold", "features"),
                         "validation-features", sort_within=["key"])

@@ -8,6 +8,7 @@ making Python strings: one ``uint8`` array holds the bytes of several documents,
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 
@@ -17,19 +18,36 @@ from pyspark.sql import DataFrame
 
 PIECE_BYTES = 1 << 19
 BATCH_ROWS = 1000        # rows of an Arrow batch: texts are long, the default of 10000 holds too much
+GIVE_BACK_BATCHES = 16
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on after its task, and what its
+    allocators hold on to is missing to the executor's other work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` whose workers find this package: by this folder where driver and
-    workers share it, else as shipped with the job (``--py-files``)."""
+    workers share it, else as shipped with the job (``--py-files``). Workers give freed
+    memory back after every ``GIVE_BACK_BATCHES`` batches and at the end of a task."""
+    def task(batches):
+        for i, out in enumerate(run(batches)):
+            yield out
+            if i % GIVE_BACK_BATCHES == GIVE_BACK_BATCHES - 1:
+                give_back()
+        give_back()
     env = df.sparkSession.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, env.get("PYTHONPATH", "")]))
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
         conf.set(key, str(BATCH_ROWS))
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(task, schema)
 
 
 def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES

@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from screenlake.functions.scores import clip_score, is_missing
 from screenlake.operators import metrics as M
 
-BLEND_DP = 9
-
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
     """Union-all by column name."""
@@ -35,7 +33,7 @@ def ensemble_mean(long: DataFrame, key: str = "key", score: str = "score",
                   out: str = "ensemble") -> DataFrame:
     """Mean over the K models of each row; long input ``(key, model, score)``.
     Partial aggregation keeps the shuffle at one row per key and map task."""
-    return long.groupBy(key).agg(F.round(F.avg(score), BLEND_DP).alias(out),
+    return long.groupBy(key).agg(F.avg(score).alias(out),
                                  F.count(score).cast("bigint").alias("n_models"))
 
 
@@ -46,8 +44,8 @@ def row_mean(cols: list[str]):
 
 def weighted_blend(long: DataFrame, weights: dict[str, float] | None, key: str = "key",
                    model: str = "model", score: str = "score", out: str = "blend") -> DataFrame:
-    """``sum(w * p) / sum(w)`` per key with normalised weights (equal when
-    None). The weight table has one row per model (driver-given), so it is
+    """``sum(w * p) / sum(w)`` per key over the models with a score for it (equal
+    weights when None); models without a weight are left out. The weight table has one row per model (driver-given), so it is
     broadcast."""
     spark = long.sparkSession
     if weights is None:
@@ -57,7 +55,8 @@ def weighted_blend(long: DataFrame, weights: dict[str, float] | None, key: str =
     wt = spark.createDataFrame([(m, float(w) / total) for m, w in weights.items()],
                                f"`{model}` string, __w double")
     j = long.join(F.broadcast(wt), model)
-    return j.groupBy(key).agg(F.round(F.sum(F.col("__w") * F.col(score)), BLEND_DP).alias(out))
+    return j.groupBy(key).agg((F.sum(F.when(F.col(score).isNotNull(), F.col("__w") * F.col(score)))
+                                  / F.sum(F.when(F.col(score).isNotNull(), F.col("__w")))).alias(out))
 
 
 def attach_oof(table: DataFrame, fold_predictions: list[DataFrame] | DataFrame,

@@ -99,7 +99,7 @@ def _stacked(spark, sf):
 @register("ensemble_mean", f"""
 SELECT key, round(avg(score), 9) AS ensemble, count(score)::bigint AS n_models FROM {_STACK_SQL} GROUP BY key""")
 def q_ensemble_mean(spark, sf):
-    return E.ensemble_mean(_stacked(spark, sf))
+    return E.ensemble_mean(_stacked(spark, sf)).withColumn("ensemble", F.round("ensemble", 9))
 
 
 @register("weighted_blend", f"""
@@ -107,7 +107,8 @@ SELECT key, round(sum(w * score), 9) AS blend FROM {_STACK_SQL} s
 JOIN (VALUES ('score', 0.5::double), ('score2', 0.25::double), ('score3', 0.25::double)) wt(model, w)
   ON s.model = wt.model GROUP BY key""")
 def q_weighted_blend(spark, sf):
-    return E.weighted_blend(_stacked(spark, sf), {"score": 2.0, "score2": 1.0, "score3": 1.0})
+    blend = E.weighted_blend(_stacked(spark, sf), {"score": 2.0, "score2": 1.0, "score3": 1.0})
+    return blend.withColumn("blend", F.round("blend", 9))
 
 
 @register("score_stats", f"""

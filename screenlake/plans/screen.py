@@ -99,8 +99,7 @@ def small_validation(labelled: DataFrame, groups: list[str], n_rows: int = 2_000
     guard (F10), stratified folds (W7), per-fold fit and score (ML7), per-group
     AUC per fold and their summary (A6-A8). Rows need (key, grp, label, text).
 
-    With fewer than ``min_positives`` positives it stops and returns an empty
-    summary, as the reference returns without results."""
+    With fewer than ``min_positives`` positives it raises."""
     from screenlake.operators import profile as P
     trainer = trainer or SMALL_TRAINER
     rows = S.prefix_batches(labelled, n_rows, batch_size).drop("pos")

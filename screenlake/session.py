@@ -2,12 +2,14 @@
 
 On a cluster the folder for checkpoints, sinks and run outputs is the one named
 by ``spark.checkpoint.dir``; it must be shared storage visible to every executor.
-A local folder is created only when the setting is absent (tests, laptops).
+A local folder is created only where the setting is absent and the master is
+``local[...]`` (tests, laptops); a cluster without the setting raises.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -50,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name shared storage on {sc.master}")
         d = tempfile.mkdtemp(prefix="screenlake-ckpt-")
         try:
             spark.conf.set(CHECKPOINT_CONF, d)

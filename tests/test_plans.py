@@ -36,3 +36,16 @@ def test_filter_pushdown(spark):
     df = load_labelled(spark, f"{SF0001}/orders.parquet", ["o_orderkey", "o_orderstatus"]) \
         .where(F.col("o_orderstatus") == "F")
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in _plan(df)
+
+
+def test_cluster_needs_a_shared_folder():
+    """A machine-local folder is made for local masters only."""
+    from types import SimpleNamespace
+
+    import pytest
+
+    from screenlake.session import ensure_checkpoint_dir
+    for master in ("local-cluster[2,1,1024]", "yarn", "spark://host:7077"):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        with pytest.raises(RuntimeError, match="shared storage"):
+            ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf={}))

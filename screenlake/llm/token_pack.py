@@ -11,9 +11,9 @@ File format: Parquet rows (shard, block, offset, n_ids, width, doc_ids, ends,
 payload), payload = ids, little-endian bit order, padded to whole bytes.
 
 Encoding: this tokenizer drops white space before it splits words, so runs
-between ASCII white space are encoded independently of each other. Each task
-encodes every different run once with the library (the table of runs is kept per
-worker and bounded) and puts the documents together with numpy. Runs are found
+between ASCII white space are encoded independently of each other. Each
+worker encodes every different run once with the library (its table holds at most
+``KEPT_RUNS`` runs, about 30 MB, and outlives a task) and puts the documents together with numpy. Runs are found
 by hash and compared byte for byte; if two differ under one hash, the library
 encodes those texts whole.
 """
@@ -182,7 +182,6 @@ def encode_blocks(docs: DataFrame, tokenizer: str, vocab_size: int, id_col: str
                     lo = hi
         if ids:
             yield flush()
-        enc.clear()                               # a worker goes on with other stages
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     ordered = src.repartitionByRange("doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     return map_batches(ordered, run, schema)

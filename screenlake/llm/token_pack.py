@@ -12,15 +12,18 @@ payload), payload = ids, little-endian bit order, padded to whole bytes.
 
 Encoding: this tokenizer drops white space before it splits words, so runs
 between ASCII white space are encoded independently of each other. Each
-worker encodes every different run once with the library (its table holds at most
-``KEPT_RUNS`` runs, about 30 MB, and outlives a task) and puts the documents together with numpy. Runs are found
+worker encodes different runs with the library and keeps them in a table, which holds at
+most ``KEPT_RUNS`` runs (about 50 MB), drops those not met again when it is full, and
+outlives a task; documents are put together with numpy. Runs are found
 by hash and compared byte for byte; if two differ under one hash, the library
 encodes those texts whole.
 """
 
 from __future__ import annotations
 
+import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +37,9 @@ from screenlake.session import shared_dir
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
-KEPT_RUNS = 1 << 19
+KEPT_RUNS = 1 << 20
 ENCODE_PIECE = 1 << 21
+BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64))     # byte values of a second hash, independent of the first
 
 
 def id_width(vocab_size: int) -> int:
@@ -74,12 +78,24 @@ class RunEncoder:
 
     def clear(self):
         self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.at, self.len = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.at, self.len = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.ids, self.used = np.zeros(0, np.uint32), np.zeros(0, bool)
+
+    def _keep_used(self):
+        """Drop the runs not met again since the last call; all of them where that is not half."""
+        kept = np.flatnonzero(self.used)
+        if kept.size > KEPT_RUNS // 2:
+            return self.clear()
+        n = self.len[kept]
+        at = np.cumsum(n, dtype=np.int64) - n
+        self.ids = self.ids[np.repeat(self.at[kept] - at, n) + np.arange(int(n.sum()))]
+        self.key, self.check, self.at, self.len = self.key[kept], self.check[kept], at, n
+        self.used = np.zeros(kept.size, bool)
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         out = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-        return (np.fromiter((i for x in out for i in x), np.uint32), np.fromiter(map(len, out), np.int64, len(out)))
+        n = np.fromiter(map(len, out), np.int64, len(out))
+        return np.fromiter(chain.from_iterable(out), np.uint32, int(n.sum())), n
 
     def piece(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """ids of all documents of a piece, and how many each has."""
@@ -95,8 +111,7 @@ class RunEncoder:
         if same:
             inside = np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens)
             same = np.array_equal(data[np.repeat(starts, lens) + inside], data[np.repeat(starts[rep], lens) + inside])
-        crc = np.fromiter((zlib.crc32(raw[a:b]) for a, b in zip(starts[first].tolist(), ends[first].tolist())), np.uint64, u.size)
-        check = mix(crc + (lens[first].astype(np.uint64) << np.uint64(32)))
+        check = span_hash(prefix_hash(BYTE_VALUES[data]), starts[first], ends[first])
         known = np.minimum(np.searchsorted(self.key, u), max(self.key.size - 1, 0))
         hit = self.key[known] == u if self.key.size else np.zeros(u.size, bool)
         if not same or (hit & (self.check[known] != check if self.key.size else hit)).any():
@@ -105,7 +120,11 @@ class RunEncoder:
         new = np.flatnonzero(~hit)
         if new.size:
             if self.key.size + new.size > KEPT_RUNS and self.key.size:
-                self.clear()
+                self.used[known[hit]] = True
+                if hit.sum() + new.size > KEPT_RUNS:      # one piece would fill the table
+                    self.clear()
+                else:
+                    self._keep_used()
                 return self.piece(data, offs)
             f = first[new]
             ids, n = self._encode([raw[a:b].decode() for a, b in zip(starts[f].tolist(), ends[f].tolist())])
@@ -115,8 +134,10 @@ class RunEncoder:
             order = np.argsort(key, kind="stable")
             self.key = key[order]
             self.check = np.concatenate([self.check, check[new]])[order]
-            self.at, self.len = np.concatenate([self.at, at])[order], np.concatenate([self.len, n])[order]
+            self.at, self.len = np.concatenate([self.at, at])[order], np.concatenate([self.len, n.astype(np.int32)])[order]
+            self.used = np.concatenate([self.used, np.zeros(new.size, bool)])[order]
             known = np.searchsorted(self.key, u)
+        self.used[known[hit]] = True
         run = known[inv]
         n = self.len[run]
         out = self.ids[np.repeat(self.at[run] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
@@ -128,6 +149,7 @@ _ENCODERS: dict[str, RunEncoder] = {}
 
 def encoder(path: str) -> RunEncoder:
     if path not in _ENCODERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks already fill the cores
         from tokenizers import Tokenizer
         _ENCODERS[path] = RunEncoder(Tokenizer.from_file(path))
     return _ENCODERS[path]

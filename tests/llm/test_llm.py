@@ -156,3 +156,17 @@ def test_language_held_out_accuracy(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     got = LI.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out")
     assert got.filter("lang = lang_pred").count() >= 0.98 * got.count()
+
+
+def test_run_table_drops_runs_and_ids_stay_right(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from screenlake.llm import token_pack
+    monkeypatch.setattr(token_pack, "KEPT_RUNS", 8)
+    path = vocab_path()
+    enc, tok = token_pack.RunEncoder(Tokenizer.from_file(path)), Tokenizer.from_file(path)
+    texts = ["a b c d", "a b x y z", "", "a q w e r t", "one two three four five six seven eight nine ten a b", "a b a"]
+    for t in texts * 2:
+        raw = np.frombuffer(t.encode(), np.uint8)
+        ids, n = enc.piece(raw, np.array([0, raw.size]))
+        assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids and n.tolist() == [len(ids)]

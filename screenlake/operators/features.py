@@ -146,46 +146,62 @@ def _regex_if(t: Column, marker: str, rx: str, otherwise: Column) -> Column:
     return F.when(t.contains(marker), F.regexp_count(t, F.lit(rx)).cast("bigint")).otherwise(otherwise)
 
 
-def descriptor_columns(text) -> list[Column]:
-    """FP4: token-class counts of a line-notation string, null/blank -> zeros.
-
-    Element counts avoid look-ahead (so the SQL oracle can use RE2):
-    C = 'C' minus 'Cl', B = 'B' minus 'Br'.
+# A bracket atom; and its symbol, after an isotope number.
+BRACKET_RE = r"\[[^\]]+\]"
+SYMBOL_RE = r"[A-Z][a-z]?|[a-z][a-z]?"
+
+
+def split_brackets(df: DataFrame, text: str) -> DataFrame:
+    """Add ``__outside``, the text with a space for each bracket atom, and
+    ``__inside``, the symbols of the bracket atoms as ``<C><N>`` (``<>`` where
+    an atom has none). Null counts as empty."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    atoms = F.array_join(F.regexp_extract_all(t, F.lit(f"({BRACKET_RE})"), 1), "")
+    symbols = F.regexp_replace(atoms, rf"\[[0-9]*({SYMBOL_RE})?[^\]]*\]", "<$1>")
+    has = t.contains("[")
+    return df.withColumn("__outside", F.when(has, F.regexp_replace(t, BRACKET_RE, " ")).otherwise(t)) \
+        .withColumn("__inside", F.when(has, symbols).otherwise(F.lit("")))
+
+
+def descriptor_columns(text: str) -> list[Column]:
+    """FP4: token-class counts of a line-notation string, null/blank -> zeros,
+    on rows prepared by :func:`split_brackets`.
+
+    A bracket atom is one atom, of the element its symbol names; explicit
+    hydrogen is no heavy atom. Ring closures, branches and bonds are counted
+    outside brackets, chiral centres and charges per bracket atom.
     """
-    t = F.coalesce(_c(text), F.lit(""))
-    n_cl, n_br = _cnt(t, "Cl"), _cnt(t, "Br")
-    n_c = _cnt(t, "C") - n_cl
-    n_b = _cnt(t, "B") - n_br
-    n_n, n_o, n_s = _cnt(t, "N"), _cnt(t, "O"), _cnt(t, "S")
-    n_f, n_i, n_p = _cnt(t, "F"), _cnt(t, "I"), _cnt(t, "P")
-    aro = {a: _cnt(t, a) for a in ("c", "n", "o", "s", "p")}
-    n_aro = aro["c"] + aro["n"] + aro["o"] + aro["s"] + aro["p"]
+    t, out, inside = F.coalesce(F.col(text), F.lit("")), F.col("__outside"), F.col("__inside")
+    bare = {x: _cnt(out, x) for x in ("B", "Br", "C", "Cl", "N", "O", "S", "F", "I", "P",
+                                      "b", "c", "n", "o", "s", "p")}
+    bare["C"], bare["B"] = bare["C"] - bare["Cl"], bare["B"] - bare["Br"]
+    n = {x: c + _cnt(inside, f"<{x}>") for x, c in bare.items()}
     zero = F.lit(0).cast("bigint")
-    n_bracket = _regex_if(t, "[", r"\[[^\]]+\]", zero)
-    n_digits = _chars_in(t, "0123456789")
-    n_pct = _regex_if(t, "%", "%[0-9]{2}", zero)
-    ring = n_digits - n_pct              # = count of '%[0-9]{2}|[0-9]'
+    ring = _chars_in(out, "0123456789") - _regex_if(out, "%", "%[0-9]{2}", zero)
     # tokens: without brackets every token is one alphabet character, a digit or
     # a '%dd' group; bracket atoms need the tokenizer itself
-    tokens = _regex_if(t, "[", TOKEN_RE, _chars_in(t, TOKEN_CHARS) + ring)
-    heavy = n_c + n_b + n_n + n_o + n_s + n_f + n_i + n_p + n_cl + n_br + n_aro + n_bracket
+    tokens = _regex_if(t, "[", TOKEN_RE, _chars_in(out, TOKEN_CHARS) + ring)
+    heavy = sum(bare.values(), _cnt(inside, "<") - _cnt(inside, "<>") - _cnt(inside, "<H>"))
+    n_aro = n["b"] + n["c"] + n["n"] + n["o"] + n["s"] + n["p"]
     w = ATOMIC_WEIGHTS
-    mass = (F.lit(w["C"]) * (n_c + aro["c"]) + F.lit(w["N"]) * (n_n + aro["n"])
-            + F.lit(w["O"]) * (n_o + aro["o"]) + F.lit(w["S"]) * (n_s + aro["s"])
-            + F.lit(w["P"]) * (n_p + aro["p"]) + F.lit(w["B"]) * n_b + F.lit(w["F"]) * n_f
-            + F.lit(w["Cl"]) * n_cl + F.lit(w["Br"]) * n_br + F.lit(w["I"]) * n_i)
-    cols = [tokens, heavy, n_c + aro["c"], n_n + aro["n"], n_o + aro["o"],
-            n_s + aro["s"], n_f + n_cl + n_br + n_i, n_aro, ring,
-            _cnt(t, r"\("), _cnt(t, "="), _cnt(t, "#"),
+    mass = (F.lit(w["C"]) * (n["C"] + n["c"]) + F.lit(w["N"]) * (n["N"] + n["n"])
+            + F.lit(w["O"]) * (n["O"] + n["o"]) + F.lit(w["S"]) * (n["S"] + n["s"])
+            + F.lit(w["P"]) * (n["P"] + n["p"]) + F.lit(w["B"]) * (n["B"] + n["b"])
+            + F.lit(w["F"]) * n["F"] + F.lit(w["Cl"]) * n["Cl"] + F.lit(w["Br"]) * n["Br"]
+            + F.lit(w["I"]) * n["I"])
+    cols = [tokens, heavy, n["C"] + n["c"], n["N"] + n["n"], n["O"] + n["o"], n["S"] + n["s"],
+            n["F"] + n["Cl"] + n["Br"] + n["I"], n_aro, ring,
+            _cnt(out, r"\("), _cnt(out, "="), _cnt(out, "#"),
             _regex_if(t, "[", r"\[[^\]]*[+-][^\]]*\]", zero),
-            _cnt(t, "@"), F.when(t.contains("[Dy]"), 1).otherwise(0).cast("bigint"),
+            _regex_if(t, "[", r"\[[^\]]*@[^\]]*\]", zero),
+            F.when(t.contains("[Dy]"), 1).otherwise(0).cast("bigint"),
             F.round(mass, 6)]
     return [c.alias(n) for c, n in zip(cols, DESCRIPTOR_NAMES)]
 
 
 def text_descriptors(df: DataFrame, key: str = "key", text: str = "text") -> DataFrame:
     """FP4 as a table ``(key, s_*...)`` (a projection, no shuffle)."""
-    return df.select(key, *descriptor_columns(text))
+    return split_brackets(df, text).select(key, *descriptor_columns(text))
 
 
 # ----------------------------------------------------------------- FP3 kernel contract
@@ -267,15 +283,17 @@ def feature_table_long(df: DataFrame, groups: list[str], key: str = "key", text:
                        group: str = "grp", nbits: int = DEFAULT_NBITS) -> DataFrame:
     """J3 in sparse COO form ``(key, feature_idx, value)``: fingerprint counts
     at ``0..nbits-1``, descriptors next, then the group one-hot. Zero entries
-    are omitted.
+    are omitted. An invalid text (X7, :func:`text_is_valid`) has no features of
+    its own, only its group's.
 
     One pass per distinct text (J4): its gram hits ``(bit, 1)`` and its
     descriptor values ``(nbits + j, v)`` are exploded together and summed per
     (text, feature) with map-side partial aggregation; the result is joined
     back to every row by md5(text)."""
-    dist = (df.select(text).where(F.col(text).isNotNull()).distinct()
+    dist = (df.select(text).where(text_is_valid(text)).distinct()
             .withColumn("__tid", F.md5(F.col(text)))
             .withColumn("__grams", grams(text)))
+    dist = split_brackets(dist, text)
     item = "struct<feature_idx:int,value:double>"
     fp_items = F.transform("__grams", lambda g: F.struct(hash_bucket(g, nbits).alias("feature_idx"),
                                                          F.lit(1.0).alias("value")))
@@ -320,4 +338,4 @@ def token_gain_topk(df: DataFrame, k: int = 20, key: str = "key", label: str = "
 def text_descriptors_with_chunk(df: DataFrame, key: str = "key", text: str = "text",
                                 chunk: str = "chunk_id") -> DataFrame:
     """FP4 keeping the chunk column (for chunked, resumable writers)."""
-    return df.select(key, chunk, *descriptor_columns(text))
+    return split_brackets(df, text).select(key, chunk, *descriptor_columns(text))

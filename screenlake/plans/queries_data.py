@@ -295,9 +295,7 @@ def q_text_descriptors(spark, sf):
 @register("invalid_text_rate", f"""
 SELECT grp, count(*)::bigint AS n_rows, sum(CASE WHEN v THEN 0 ELSE 1 END)::bigint AS n_invalid,
   round(100.0::double * sum(CASE WHEN v THEN 0 ELSE 1 END)::double / count(*)::double, 9) AS pct_invalid
-FROM (SELECT grp, coalesce(text IS NOT NULL AND length(trim(text)) > 0
-        AND {Q.rcount('text', chr(92) + '(')} = {Q.rcount('text', chr(92) + ')')}
-        AND {Q.rcount('text', chr(92) + '[')} = {Q.rcount('text', chr(92) + ']')}, false) AS v
+FROM (SELECT grp, {Q.valid("text")} AS v
       FROM {V.TEXTS_SQL}) GROUP BY grp""")
 def q_invalid_text_rate(spark, sf):
     return P.invalid_text_rate(V.texts(spark, sf), by=["grp"])
@@ -332,7 +330,8 @@ def q_group_label_encode(spark, sf):
 _NB = 512
 _ND = len(X.DESCRIPTOR_NAMES)
 _FT_SQL = f"""
-src AS (SELECT key, grp, text FROM {V.DOCS_SQL}),
+every_doc AS (SELECT key, grp, text FROM {V.DOCS_SQL}),
+src AS (SELECT * FROM every_doc WHERE {Q.valid('text')}),
 g AS ({Q.grams('text')}),
 fp AS (SELECT key, {Q.hash_bucket('gram', _NB)} AS feature_idx, count(*)::double AS value FROM g GROUP BY ALL),
 d AS (SELECT key, {Q.descriptors('text')} FROM src),
@@ -340,7 +339,7 @@ dl AS (UNPIVOT d ON {', '.join(X.DESCRIPTOR_NAMES)} INTO NAME nm VALUE v),
 dd AS (SELECT key, ({_NB} + list_position({X.DESCRIPTOR_NAMES!r}, nm) - 1)::int AS feature_idx,
               v::double AS value FROM dl),
 oh AS (SELECT key, ({_NB + _ND} + list_position({V.DOC_GROUPS!r}, grp) - 1)::int AS feature_idx,
-              1.0::double AS value FROM src WHERE grp IN {tuple(V.DOC_GROUPS)!r}),
+              1.0::double AS value FROM every_doc WHERE grp IN {tuple(V.DOC_GROUPS)!r}),
 ft AS (SELECT key, feature_idx::int AS feature_idx, value FROM fp WHERE value <> 0
        UNION ALL SELECT * FROM dd WHERE value <> 0 UNION ALL SELECT * FROM oh)"""
 

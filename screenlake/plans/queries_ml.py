@@ -110,7 +110,7 @@ def q_run_screen(spark, sf):
 def q_small_validation(spark, sf):
     # batches of 100 documents in key order over the whole labelled table
     return small_validation(V.docs(spark, sf), V.DOC_GROUPS, n_rows=2_000_000, batch_size=100,
-                          negative_ratio=20, n_folds=3)
+                          negative_ratio=20, n_folds=3, trainer=SMALL_TRAINER)
 
 
 @register("quick_screen")

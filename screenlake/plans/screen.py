@@ -101,7 +101,7 @@ def small_validation(labelled: DataFrame, groups: list[str], n_rows: int = 2_000
 
     With fewer than ``min_positives`` positives it raises."""
     from screenlake.operators import profile as P
-    trainer = trainer or SMALL_TRAINER
+    trainer = trainer or T.TrainerConfig()
     rows = S.prefix_batches(labelled, n_rows, batch_size).drop("pos")
     s = materialize(S.chunk_sample(rows, chunk_size=batch_size, negative_ratio=negative_ratio,
                                    seed=seed, negatives="zero")

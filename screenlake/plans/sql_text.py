@@ -22,29 +22,37 @@ def rcount(t: str, rx: str) -> str:
     return f"len(regexp_extract_all({t}, '{rx}'))::bigint"
 
 
+def valid(t: str) -> str:
+    """A text that can be featurized: not blank, brackets and parentheses balanced."""
+    return (f"coalesce(length(trim({t})) > 0 AND {rcount(t, chr(92) + '(')} = {rcount(t, chr(92) + ')')}"
+            f" AND {rcount(t, chr(92) + '[')} = {rcount(t, chr(92) + ']')}, false)")
+
+
 def descriptors(text: str) -> str:
-    """Same token-class counts as ``features.descriptor_columns``."""
+    """Descriptors from the token list, token by token (the Spark side counts
+    substrings of the text inside and outside brackets)."""
     t = f"coalesce({text}, '')"
-    n_cl, n_br = rcount(t, "Cl"), rcount(t, "Br")
-    n_c = f"({rcount(t, 'C')} - {n_cl})"
-    n_b = f"({rcount(t, 'B')} - {n_br})"
-    n = {a: rcount(t, a) for a in ("N", "O", "S", "F", "I", "P")}
-    aro = {a: rcount(t, a) for a in ("c", "n", "o", "s", "p")}
-    n_aro = f"({aro['c']} + {aro['n']} + {aro['o']} + {aro['s']} + {aro['p']})"
-    bracket = rcount(t, r"\[[^\]]+\]")
-    heavy = (f"({n_c} + {n_b} + {n['N']} + {n['O']} + {n['S']} + {n['F']} + {n['I']} + {n['P']}"
-             f" + {n_cl} + {n_br} + {n_aro} + {bracket})")
-    w = {k: f"{v}::double" for k, v in ATOMIC_WEIGHTS.items()}
-    mass = (f"({w['C']} * ({n_c} + {aro['c']}) + {w['N']} * ({n['N']} + {aro['n']})"
-            f" + {w['O']} * ({n['O']} + {aro['o']}) + {w['S']} * ({n['S']} + {aro['s']})"
-            f" + {w['P']} * ({n['P']} + {aro['p']}) + {w['B']} * {n_b} + {w['F']} * {n['F']}"
-            f" + {w['Cl']} * {n_cl} + {w['Br']} * {n_br} + {w['I']} * {n['I']})")
-    cols = [rcount(t, TOKEN_RE), heavy, f"({n_c} + {aro['c']})", f"({n['N']} + {aro['n']})",
-            f"({n['O']} + {aro['o']})", f"({n['S']} + {aro['s']})",
-            f"({n['F']} + {n_cl} + {n_br} + {n['I']})", n_aro, rcount(t, "%[0-9]{2}|[0-9]"),
-            rcount(t, r"\("), rcount(t, "="), rcount(t, "#"), rcount(t, r"\[[^\]]*[+-][^\]]*\]"),
-            rcount(t, "@"), f"(CASE WHEN contains({t}, '[Dy]') THEN 1 ELSE 0 END)::bigint",
-            f"round({mass}, 6)"]
+    toks = f"regexp_extract_all({t}, '{TOKEN_RE}')"
+    sym = (r"(CASE WHEN x[1] = '[' THEN regexp_extract(x, '^\[[0-9]*([A-Z][a-z]?|[a-z][a-z]?)', 1)"
+           " ELSE x END)")
+
+    def count(cond: str) -> str:
+        return f"len([x for x in {toks} if {cond}])::bigint"
+
+    def atoms(*symbols: str) -> str:
+        return count(f"{sym} IN ({', '.join(repr(s) for s in symbols)})")
+
+    elements = {"C": ("C", "c"), "N": ("N", "n"), "O": ("O", "o"), "S": ("S", "s"), "P": ("P", "p"),
+                "B": ("B", "b"), "F": ("F",), "Cl": ("Cl",), "Br": ("Br",), "I": ("I",)}
+    bare = ", ".join(repr(s) for v in elements.values() for s in v)
+    heavy = count(f"CASE WHEN x[1] = '[' THEN {sym} NOT IN ('', 'H') ELSE x IN ({bare}) END")
+    mass = " + ".join(f"{ATOMIC_WEIGHTS[e]}::double * {atoms(*v)}" for e, v in elements.items())
+    cols = [f"len({toks})::bigint", heavy, *(atoms(*elements[e]) for e in "CNOS"),
+            atoms("F", "Cl", "Br", "I"), atoms(*"bcnosp"),
+            count("regexp_full_match(x, '%?[0-9]+')"), count("x = '('"), count("x = '='"), count("x = '#'"),
+            count("x[1] = '[' AND (contains(x, '+') OR contains(x, '-'))"),
+            count("x[1] = '[' AND contains(x, '@')"),
+            f"(CASE WHEN contains({t}, '[Dy]') THEN 1 ELSE 0 END)::bigint", f"round({mass}, 6)"]
     return ", ".join(f"{c} AS {nm}" for c, nm in zip(cols, DESCRIPTOR_NAMES))
 
 

@@ -65,6 +65,28 @@ def test_descriptors_smiles_tiny(spark):
     assert d[8].s_ring_closures == 2
 
 
+def test_bracket_atoms_count_once(spark):
+    from screenlake.operators import train as T
+    df = spark.createDataFrame([(1, "C[C@@H](N)C(=O)O"), (2, "C[NH3+]"), (3, "[13CH4]"),
+                                (4, "[H]O[H]"), (5, "c1cc[nH]c1")], "key long, text string")
+    d = {r.key: r for r in X.text_descriptors(df).collect()}
+    assert [d[k].s_heavy_atoms for k in range(1, 6)] == [6, 2, 1, 1, 5]
+    assert [d[k].s_ring_closures for k in range(1, 6)] == [0, 0, 0, 0, 2]
+    assert d[1].s_chiral == 1 and d[2].s_charged == 1 and d[2].s_n == 1
+    assert d[3].s_c == 1 and d[3].s_mass == 12.011 and d[5].s_aromatic == 5
+    bad = spark.createDataFrame([(1, "C(CCCCCC", "en"), (2, None, "en")], "key long, text string, grp string")
+    assert [(r.feature_idx, r.value) for r in X.feature_table_long(bad, ["en"]).collect()] \
+        == [(X.DEFAULT_NBITS + len(X.DESCRIPTOR_NAMES), 1.0)] * 2
+    assert all(r.features.numNonzeros() == 1 for r in T.ml_features(bad, ["en"]).collect())
+
+
+def test_best_round_waits_for_a_late_minimum():
+    from screenlake.operators.train import best_round
+    assert best_round([0.5, 0.6, 0.6, 0.4, 0.45], 3) == 4
+    assert best_round([0.5, 0.6, 0.6, 0.4, 0.45], 2) == 1
+    assert best_round([0.5, 0.4, 0.3], 1) == 3
+
+
 def test_validity_and_fingerprint(spark):
     df = spark.createDataFrame(SMILES + [(10, "C1CC1"), (11, "C2CC2")], "key long, text string")
     v = {r.key: r.ok for r in df.select("key", X.text_is_valid("text").alias("ok")).collect()}

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from screenlake.llm import decontaminate as DC
 from screenlake.llm import induced_sort as IS
@@ -170,3 +171,24 @@ def test_run_table_drops_runs_and_ids_stay_right(monkeypatch):
         raw = np.frombuffer(t.encode(), np.uint8)
         ids, n = enc.piece(raw, np.array([0, raw.size]))
         assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids and n.tolist() == [len(ids)]
+
+
+@pytest.fixture(scope="module")
+def toxic_model(spark):
+    docs, lab = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
+    held = docs.join(lab.select("doc_id", "toxic"), "doc_id").filter(F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+    return TX.train(docs, lab), held.select("doc_id", "text", "toxic").cache()
+
+
+def test_toxicity_held_out_recall_and_false_positives(toxic_model):
+    model, held = toxic_model
+    got = TX.score(held, model).groupBy("toxic").agg(F.avg((F.col("toxicity") >= 0.5).cast("int")).alias("hit"))
+    hit = {r.toxic: r.hit for r in got.collect()}
+    assert hit[1] >= 0.85 and hit[0] <= 0.01
+
+
+def test_joined_toxicity_table_gives_the_same(toxic_model):
+    model, held = toxic_model
+    some = held.limit(200).select("doc_id", "text").cache()
+    a, b = (rows(TX.score(some, m).select("doc_id", F.round("toxicity", 9))) for m in (model, model | {"shared": None}))
+    assert sorted(a) == sorted(b) and len(a) == some.count()

@@ -187,6 +187,15 @@ def test_toxicity_held_out_recall_and_false_positives(toxic_model):
     assert hit[1] >= 0.85 and hit[0] <= 0.01
 
 
+def test_long_clean_texts_are_not_toxic(spark, toxic_model):
+    model, held = toxic_model
+    clean = [r.text for r in held.filter("toxic = 0").orderBy("doc_id").collect()]
+    rng = np.random.default_rng(1)
+    long = [(k, "\n".join(clean[i] for i in rng.integers(0, len(clean), k))) for k in (20, 100, 400) for _ in range(5)]
+    got = TX.score(spark.createDataFrame(long, "parts int, text string"), model)
+    assert got.filter("toxicity >= 0.5").count() == 0
+
+
 def test_joined_toxicity_table_gives_the_same(toxic_model):
     model, held = toxic_model
     some = held.limit(200).select("doc_id", "text").cache()

@@ -216,15 +216,18 @@ def fingerprint_hex(fp: str = "fp") -> Column:
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                k: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """Rows of ``docs`` that stay, with their columns: of each component the one with
-    the smallest doc_id. Of several rows with that id the first in the order of all
-    columns stays. Rows without an id stay only where their whole component has none."""
-    parts = materialize(simhash_components(docs, id_col, text_col, k, max_bits), "simhash-parts")
+    """Rows of ``docs`` that stay, with their columns: of each component one row, with the
+    smallest doc_id (rows without an id come last). Of several rows with that id the one
+    with the smallest hashes of text and columns stays, of equal rows one."""
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(F.lit(1), F.col(text_col)).alias("text"),
+                   F.xxhash64(F.lit(2), *[x for c in docs.columns for x in (F.col(c).isNull(), F.col(c))]).alias("all"))
+    src = docs.withColumn("__row", key)
+    parts = materialize(simhash_components(src, "__row", text_col, k, max_bits), "simhash-parts")
     same = F.col("doc_id").eqNullSafe(F.col("component_id"))
     roots = parts.filter(same).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     keep = roots.select(F.col("doc_id").alias("__keep"))
-    kept = docs.join(keep, F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
+    kept = src.join(keep, F.col("__row").eqNullSafe(F.col("__keep")), "left_semi")
     if roots.filter("n > 1").isEmpty():
-        return kept
-    order = Window.partitionBy(id_col).orderBy(*[F.col(c).asc_nulls_first() for c in docs.columns])
-    return kept.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1").drop("__rank")
+        return kept.drop("__row")
+    order = Window.partitionBy("__row").orderBy(*[F.col(c).asc_nulls_first() for c in docs.columns])
+    return kept.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1").drop("__rank", "__row")

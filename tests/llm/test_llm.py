@@ -201,3 +201,38 @@ def test_joined_toxicity_table_gives_the_same(toxic_model):
     some = held.limit(200).select("doc_id", "text").cache()
     a, b = (rows(TX.score(some, m).select("doc_id", F.round("toxicity", 9))) for m in (model, model | {"shared": None}))
     assert sorted(a) == sorted(b) and len(a) == some.count()
+
+
+def test_near_dedup_brute_force_without_and_with_repeated_ids(spark):
+    rng = np.random.default_rng(5)
+
+    def text():
+        return " ".join(f"w{x}" for x in rng.integers(0, 10**6, 60))
+    a, b, c, d, e = (text() for _ in range(5))
+    data = [(1, a), (1, b), (2, a), (2, c), (None, d), (None, e), (None, e), (None, b), (3, c), (4, None), (None, "")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    # different texts lie far apart, equal ones (and null with empty) in one component
+    want = {}
+    for i, t in data:
+        want.setdefault(t or "", []).append(i)
+    want = sorted((t, min((i is None, i or 0) for i in ids)) for t, ids in want.items())
+    got = [(r.text or "", (r.doc_id is None, r.doc_id or 0)) for r in SH.near_dedup(docs).collect()]
+    assert sorted(got) == want
+
+
+def test_pipeline_run_keeps_rows_of_null_and_repeated_ids(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 60)) for _ in range(4)]
+    data = [(None, texts[0], "en", "a", 10), (None, texts[1], "en", "a", 10), (1, texts[2], "en", "a", 10), (1, texts[3], "en", "a", 10), (2, texts[3], "en", "a", 10)]
+    spark.createDataFrame(data, "doc_id bigint, text string, lang string, source string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    seen = {}
+
+    def written(df, name="stage", **kw):
+        seen[name] = df.cache()
+        return df
+    monkeypatch.setattr(corpus_pipeline, "materialize", written)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    assert sorted(r.text for r in seen["pipeline-near_dedup"].collect()) == sorted(texts)

@@ -236,3 +236,29 @@ def test_pipeline_run_keeps_rows_of_null_and_repeated_ids(spark, tmp_path, monke
     monkeypatch.setattr(corpus_pipeline, "materialize", written)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
     assert sorted(r.text for r in seen["pipeline-near_dedup"].collect()) == sorted(texts)
+
+
+def test_paragraph_large_band_compares_every_pair(spark):
+    rng = np.random.default_rng(11)
+    base = rng.integers(1, 1 << 62, 60)
+    sets = []
+    for _ in range(150):                      # all over one template; pairs at 0.8 among them
+        x = base.copy()
+        x[rng.choice(60, 11, False)] = rng.integers(1, 1 << 62, 11)
+        y = x.copy()
+        y[rng.choice(60, 6, False)] = rng.integers(1, 1 << 62, 6)
+        sets += [x, y]
+    nodes = spark.createDataFrame([(i, np.unique(x).astype(np.uint64).tobytes()) for i, x in enumerate(sets)], "h1 bigint, shingles binary")
+    edges = rows(PD.similar_edges(nodes, 1, 1, 0.8, bucket=8))
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for a, b in edges:
+        assert PD.similar(frozenset(sets[a].tolist()), frozenset(sets[b].tolist()), 0.8)
+        root[find(a)] = find(b)
+    band = [int(k) for k in PD.band_keys(np.concatenate([np.unique(x).astype(np.uint64) for x in sets]), np.array([np.unique(x).size for x in sets]), 1, 1)[:, 0]]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if band[i] == band[j] and PD.similar(frozenset(sets[i].tolist()), frozenset(sets[j].tolist()), 0.8)]
+    assert pairs and all(find(i) == find(j) for i, j in pairs)

@@ -1,7 +1,7 @@
 """Every registered query with an oracle must equal DuckDB's answer (sf0.001)."""
 import pytest
 
-from conftest import SF0001
+from paths import SF0001
 from oracle_compare import compare, duck
 from screenlake.plans.catalog import ORACLE
 

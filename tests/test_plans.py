@@ -3,7 +3,7 @@ nested-loop joins, no Python in the plan except the declared kernel operator,
 and column pruning reaches the scans of the wide text table."""
 import pytest
 
-from conftest import SF0001
+from paths import SF0001
 from screenlake.plans.catalog import ORACLE, QUERIES
 
 PYTHON_OK = {"distinct_featurize"}   # FP3: the mapInPandas kernel contract

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from screenlake.operators import folds as FO
 from screenlake.operators import rank as R
 from screenlake.operators import sampling as S

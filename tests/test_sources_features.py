@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from paths import SF0001
 from screenlake.operators import ensemble as E
 from screenlake.operators import features as X
 from screenlake.operators import profile as P

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from paths import SF0001
 from screenlake.operators import features as X
 from screenlake.plans import views as V
 from screenlake.session import shared_dir
@@ -64,7 +64,7 @@ def test_stream_chunk_sample_end_to_end(spark):
 
 
 def test_run_screen_end_to_end(spark):
-    from conftest import SF001
+    from paths import SF001
     from screenlake.plans.screen import SMALL_TRAINER, ScreenConfig, run_screen, write_template
     u = V.unlabelled(spark, SF001)
     cfg = ScreenConfig(n_folds=2, trainer=SMALL_TRAINER, max_positive=None)

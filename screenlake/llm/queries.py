@@ -11,6 +11,7 @@ from screenlake.llm import line_dedup as LD
 from screenlake.llm import mixing as MX
 from screenlake.llm import order_minhash as OM
 from screenlake.llm import paragraph_dedup as PD
+from screenlake.llm import quality_rules as QR
 from screenlake.llm import simhash as SH
 from screenlake.llm import suffix_dedup as SD
 from screenlake.llm import token_pack as TP
@@ -73,8 +74,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         DC.item_digest().alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QR.verdicts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_suffix_dedup, op4_line_dedup, op5_paragraph_dedup, op6_order_minhash, op7_simhash,
-                                   op8_language, op9_token_files, op10_decontamination)}
+                                   op8_language, op9_token_files, op10_decontamination, op13_quality_rules)}
 
 
 # One DuckDB query per operator that SQL can express; see tests/llm for the others.
@@ -99,3 +104,26 @@ select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
        coalesce(items_sha256, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join hit_words using (doc_id) left join hit_items using (doc_id)
 """
+
+# Words, lines and three-word windows as rows; the threshold table in whole numbers.
+_STOP = ", ".join(f"'{w}', '{w.capitalize()}'" for w in QR.STOP_WORDS)
+_BROKEN = ", ".join("case when " + " or ".join([f"1000 * {r.part} < {r.least} * {r.whole}"] * (r.least is not None) + [f"1000 * {r.part} > {r.most} * {r.whole}"] * (r.most is not None))
+                    + f" then '{r.name}' end" for r in QR.BASE + QR.RULES)
+ORACLE["op13_quality_rules"] = rf"""
+with d as (select doc_id, coalesce(text, '') as text from documents),
+w as (select doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w,
+             [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] as ls from d),
+win as (select doc_id, i, w[i] as a, w[i + 1] as b, w[i + 2] as c from w, unnest(range(1, len(w) - 1)) as t(i)),
+again as (select doc_id, i from win qualify count(*) over (partition by doc_id, a, b, c) > 1),
+rep as (select doc_id, count(distinct k) as n from again, unnest(range(i, i + 3)) as t(k) group by doc_id),
+m as (select w.doc_id, len(w)::bigint as n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::bigint as word_chars,
+             len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols,
+             len([x for x in w if x in ({_STOP})])::bigint as n_stop_words,
+             len(ls)::bigint as n_lines, (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines,
+             len([x for x in ls if regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]')])::bigint as n_bullet_lines,
+             len([x for x in ls if regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$')])::bigint as n_cut_lines,
+             coalesce(rep.n, 0)::bigint as n_repeat_words
+      from w left join rep on w.doc_id = rep.doc_id),
+v as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, concat_ws(',', {_BROKEN}) as broken from m)
+select *, broken = '' as kept from v
+"""

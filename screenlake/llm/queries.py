@@ -11,6 +11,7 @@ from screenlake.llm import line_dedup as LD
 from screenlake.llm import mixing as MX
 from screenlake.llm import order_minhash as OM
 from screenlake.llm import paragraph_dedup as PD
+from screenlake.llm import periodic_runs as PR
 from screenlake.llm import quality_rules as QR
 from screenlake.llm import simhash as SH
 from screenlake.llm import suffix_dedup as SD
@@ -74,12 +75,30 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         DC.item_digest().alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and the text of op11: in a tenth of the documents the words from one
+    place on repeat the words from there, a third of what is left or less at a time."""
+    h = "crc32(cast(doc_id as string))"
+    g, n = f"({h} div 10)", "size(w)"
+    a = f"cast({g} % {n} as int)"
+    p = f"cast(1 + ({n} - {a}) div (3 + {g} % 8) as int)"
+    words = "regexp_extract_all(text, r'[^\\x20\\x09-\\x0D]+', 0)"
+    text = (f"transform(array({words}), w -> transform(array({a}), a -> transform(array({p}), p -> "
+            "array_join(transform(w, (x, i) -> if(i < a, x, get(w, a + (i - a) % p))), ' '))[0])[0])[0]")
+    return docs.select("doc_id", F.expr(f"if({h} % 10 = 0 and size({words}) > 0, {text}, text)").alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PR.run_digests(PR.periodic_runs(with_periods(table(spark, sf_dir, "documents"))))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QR.verdicts(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_suffix_dedup, op4_line_dedup, op5_paragraph_dedup, op6_order_minhash, op7_simhash,
-                                   op8_language, op9_token_files, op10_decontamination, op13_quality_rules)}
+                                   op8_language, op9_token_files, op10_decontamination, op11_periodic_runs,
+                                   op13_quality_rules)}
 
 
 # One DuckDB query per operator that SQL can express; see tests/llm for the others.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from screenlake.llm import collocations as CO
 from screenlake.llm import decontaminate as DC
 from screenlake.llm import langid as LI
 from screenlake.llm import line_dedup as LD
@@ -92,13 +93,17 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PR.run_digests(PR.periodic_runs(with_periods(table(spark, sf_dir, "documents"))))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CO.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QR.verdicts(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_suffix_dedup, op4_line_dedup, op5_paragraph_dedup, op6_order_minhash, op7_simhash,
                                    op8_language, op9_token_files, op10_decontamination, op11_periodic_runs,
-                                   op13_quality_rules)}
+                                   op12_collocations, op13_quality_rules)}
 
 
 # One DuckDB query per operator that SQL can express; see tests/llm for the others.
@@ -146,3 +151,20 @@ m as (select w.doc_id, len(w)::bigint as n_words, length(regexp_replace(text, '[
 v as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, concat_ws(',', {_BROKEN}) as broken from m)
 select *, broken = '' as kept from v
 """
+
+# Phrases as lists of words; a candidate goes if a longer candidate around it is as frequent.
+ORACLE["op12_collocations"] = r"""
+with p as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p),
+f as (select lang, w[i : i + k - 1] as p, count(*) as a from w, unnest([1, 2, 3, 4, 5]) as s(k), unnest(range(1, len(w) - k + 2)) as t(i) group by all),
+n as (select lang, sum(a)::bigint as n from f where len(p) = 1 group by lang),
+c as (select * from f where len(p) > 1 and a >= 100),
+inner_parts as (select lang, a, p[i : j] as p from c, unnest(range(1, len(p))) as s(i), unnest(range(i + 1, len(p) + 1)) as t(j) where j - i + 1 < len(p)),
+own as (select c.* from c anti join inner_parts i on c.lang = i.lang and c.p = i.p and 100 * i.a >= 100 * c.a),
+cuts as (select o.lang, o.p, o.a, k, x.a as l, y.a as r, n.n, (1000::hugeint * o.a * n.n) // (x.a::hugeint * y.a) as score
+         from own o join n on o.lang = n.lang, unnest(range(1, len(o.p))) as s(k)
+         join f x on x.lang = o.lang and x.p = o.p[1 : k] join f y on y.lang = o.lang and y.p = o.p[k + 1 :]),
+best as (select * from cuts qualify row_number() over (partition by lang, p order by score, k) = 1),
+top as (select *, array_to_string(p, ' ') as phrase, row_number() over (partition by lang order by score desc, a desc, array_to_string(p, ' ')) as rank from best)
+select lang, rank, phrase, a, l, r, n, score::bigint as score from top where rank <= 2000
+"""

@@ -27,6 +27,9 @@ empty one. Very long texts stay in one portion, whose work is linear in its leng
 
 from __future__ import annotations
 
+from collections import Counter
+from itertools import islice
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -44,7 +47,9 @@ TILE_BITS = 8
 DENSE = 1 << 12         # pairs of a tile in one round that are worth a dense count
 TILES = 64              # dense tiles a task holds (half a megabyte each)
 SPARSE = 1 << 20        # sparse entries a task holds before it hands them on
-CACHE = 1 << 18         # words whose hash a task remembers
+CACHE = 1 << 16         # words of a language whose hash a task remembers
+COUNTED = 1 << 17       # words a task counts before it hands the counts on
+PORTION = 1 << 15       # bytes of text behind one row of the sequence tables (more only for one longer document)
 BOUND = 64 << 20        # bytes of a table handed to every task
 ID_BITS = 31            # an id of a phrase; two make a key
 
@@ -76,7 +81,7 @@ def _texts(batches, seed: int):
     """Portions of text as lists of (hashes of the language, folded bytes)."""
     langs: dict[str, _Hashes] = {}
     for batch in batches:
-        for rows, data, offs in pieces(batch):
+        for rows, data, offs in pieces(batch, limit=PORTION):
             raw, cuts = data.tobytes().translate(_FOLD), offs.tolist()
             names = rows.column(rows.schema.get_field_index("lang")).to_pylist()
             yield [(langs.setdefault(n, _Hashes(n, seed)), raw[a:b]) for n, a, b in zip(names, cuts, cuts[1:])]
@@ -92,16 +97,15 @@ def word_counts(texts: DataFrame, seed: int) -> DataFrame:
         counts: dict[str, tuple[_Hashes, dict]] = {}
 
         def rows():
-            out = [(h, lang, w, c) for lang, (hashes, n) in counts.items() for w, c in n.items() for h in (hashes[w],)]
-            for at in range(0, len(out), 1 << 16):
-                h, lang, w, c = zip(*out[at:at + (1 << 16)])
+            out = ((hashes[w], lang, w, c) for lang, (hashes, n) in counts.items() for w, c in n.items())
+            while some := list(islice(out, 1 << 14)):
+                h, lang, w, c = zip(*some)
                 yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(lang, pa.string()), pa.array(w, pa.binary()).cast(pa.string()),
                                                   pa.array(c, pa.int64())], names=["h", "lang", "word", "c"])
-        from collections import Counter
         for portion in _texts(batches, seed):
             for hashes, text in portion:
                 counts.setdefault(hashes.lang[:-1].decode(), (hashes, Counter()))[1].update(text.split())
-            if sum(len(n) for _, n in counts.values()) > CACHE:
+            if sum(len(n) for _, n in counts.values()) > COUNTED:
                 yield from rows()
                 counts.clear()
         yield from rows()
@@ -109,8 +113,9 @@ def word_counts(texts: DataFrame, seed: int) -> DataFrame:
     return parts.repartition("h").groupBy("h", "lang", "word").agg(F.sum("c").alias("c"))
 
 
-def word_sequences(texts: DataFrame, seed: int) -> DataFrame:
-    """``(seq)``: word hashes of a portion of text, 0 between pieces and documents."""
+def word_sequences(texts: DataFrame, seed: int, shared=None) -> DataFrame:
+    """``(seq)``: word hashes of a portion of text, 0 between pieces and documents; or, with
+    a broadcast table, the ids of the words."""
     def task(batches):
         for portion in _texts(batches, seed):
             seq: list[int] = []
@@ -120,7 +125,8 @@ def word_sequences(texts: DataFrame, seed: int) -> DataFrame:
                     if words:
                         seq += map(hashes.__getitem__, words)
                         seq.append(0)
-            yield _sequences([np.array(seq, np.int64)])
+            out = np.array(seq, np.int64)
+            yield _sequences([_relabelled(out, *shared.value) if shared else out])
     return map_batches(texts, task, "seq array<bigint>")
 
 
@@ -154,17 +160,23 @@ def _relabelled(keys: np.ndarray, known: np.ndarray, ids: np.ndarray) -> np.ndar
     return out[keep]
 
 
+def share(table: DataFrame, bound: int = BOUND):
+    """The written ``table (key, id)`` as sorted arrays in a broadcast; None beyond ``bound`` bytes."""
+    if table.count() * 16 > bound:
+        return None
+    got = table.select("key", "id").toArrow()
+    known, ids = (got.column(c).to_numpy() for c in ("key", "id"))
+    order = np.argsort(known)
+    return table.sparkSession.sparkContext.broadcast((known[order], ids[order]))
+
+
 def relabel(seqs: DataFrame, table: DataFrame, pairs: bool, bound: int = BOUND) -> DataFrame:
     """``seqs`` with each word hash, or each adjacent pair of ids, replaced by its ``id`` in
     the written ``table (key, id)``, 0 if it has none."""
     def keys_of(seq):
         return _pair_keys(seq) if pairs else seq
-    if table.count() * 16 <= bound:
-        got = table.select("key", "id").toArrow()
-        known, ids = (got.column(c).to_numpy() for c in ("key", "id"))
-        order = np.argsort(known)
-        shared = seqs.sparkSession.sparkContext.broadcast((known[order], ids[order]))
-
+    shared = share(table, bound)
+    if shared:
         def task(batches):
             for batch in batches:
                 yield _sequences([_relabelled(keys_of(s), *shared.value) for s in _rows_of(batch)])
@@ -289,7 +301,9 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     first = ranked(words.filter(F.col("c") >= min_count).withColumnRenamed("h", "key"), "phrase-1")
     none = F.expr("cast(array() as array<bigint>)")
     level = first.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "c", none.alias("pre"), none.alias("suf"))
-    seqs = materialize(relabel(word_sequences(texts, seed), first, False, bound), "phrase-seq-1")
+    shared = share(first, bound)
+    seqs = word_sequences(texts, seed, shared)
+    seqs = materialize(seqs if shared else relabel(seqs, first, False, bound), "phrase-seq-1")
     levels = []
     for k in range(2, max_words + 1):
         table = ranked(pair_counts(seqs).filter(F.col("c") >= min_count), f"phrase-{k}")

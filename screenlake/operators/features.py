@@ -328,8 +328,8 @@ def token_gain_topk(df: DataFrame, k: int = 20, key: str = "key", label: str = "
     per = (on.join(df.select(key, label), key)
            .groupBy("bit").agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"),
                                F.sum(label).cast("bigint").alias("n_pos")))
-    lift = F.round(F.try_divide(F.col("n_pos").cast("double") / F.col("n_docs").cast("double"),
-                                F.lit(base)), 9)         # null when there is no positive at all
+    lift = F.try_divide(F.col("n_pos").cast("double") / F.col("n_docs").cast("double"),
+                        F.lit(base))                     # null when there is no positive at all
     top = per.withColumn("lift", lift).orderBy(F.col("lift").desc(), "bit").limit(k)
     w = Window.orderBy(F.col("lift").desc(), "bit")
     return top.withColumn("rank", F.row_number().over(w).cast("int"))

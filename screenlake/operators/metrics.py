@@ -3,10 +3,11 @@ precision, threshold metrics, macro means and cross-validation summaries.
 
 Scale plan. Nothing here windows over raw rows of a group (a group can be a
 third of the table). Rows are first collapsed map-side to
-``(group, score) -> (pos, neg)``; cumulative counts along the score order are
-then computed in two levels: prefix sums over a small per-(group, score bucket)
-table, plus a window inside each (group, bucket). The AUC numerator is an exact
-integer, so the only rounding is one final division.
+``(group, score) -> (pos, neg)``; cumulative counts along the score order come
+from ranges of bounded size whose borders are sampled from the collapsed scores
+(``ordering.cumulate``), so scores crowded near zero share no range. The AUC
+numerator is an exact integer, so the only rounding is one final division;
+no operator rounds its result.
 
 Missing scores (null / NaN) and labels other than 0/1 are left out, as the
 reference drops missing predictions before scoring.
@@ -18,13 +19,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from screenlake.functions.scores import is_missing, threshold_class
-from screenlake.operators.rank import join_null_safe
+from screenlake.operators.ordering import ROWS_PER_RANGE, cumulate
 from screenlake.session import materialize
 
-# Number of score buckets per unit of score; probabilities use 2^16 + 1 buckets.
-DEFAULT_RESOLUTION = 1 << 16
-METRIC_DP = 9
-
 
 def _as_list(g) -> list[str]:
     if g is None:
@@ -43,29 +40,6 @@ def score_counts(df: DataFrame, group, label: str, score: str) -> DataFrame:
         F.sum(F.when(F.col(label) == 0, 1).otherwise(0)).cast("bigint").alias("neg"))
 
 
-def cumulate_by_score(cnt: DataFrame, group, score: str, cols: list[str],
-                      descending: bool = False,
-                      resolution: int = DEFAULT_RESOLUTION) -> DataFrame:
-    """Add ``cum_<c>`` = inclusive running sum of ``c`` along the score order
-    within each group, computed in two levels (see module doc)."""
-    gs = _as_list(group)
-    b = "__sl_sb"
-    sgn = -1.0 if descending else 1.0
-    x = cnt.withColumn(b, F.floor(F.col(score) * F.lit(sgn * resolution)).cast("bigint"))
-    bt = x.groupBy(*gs, b).agg(*[F.sum(c).alias(f"__bt_{c}") for c in cols])
-    wb = Window.partitionBy(*gs).orderBy(b).rowsBetween(Window.unboundedPreceding,
-                                                        Window.currentRow)
-    bt = bt.select(*gs, b, *[(F.sum(f"__bt_{c}").over(wb) - F.col(f"__bt_{c}"))
-                             .alias(f"__before_{c}") for c in cols])
-    x = join_null_safe(x, bt, gs + [b])
-    order = F.col(score).desc() if descending else F.col(score).asc()
-    wi = (Window.partitionBy(*gs, b).orderBy(order)
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    for c in cols:
-        x = x.withColumn(f"cum_{c}", F.col(f"__before_{c}") + F.sum(c).over(wi))
-    return x.drop(b, *[f"__before_{c}" for c in cols])
-
-
 def _group_dim(spark: SparkSession, group: str, groups: list[str]) -> DataFrame:
     # A driver-supplied list: its size is known, so broadcasting it is safe.
     rows = [(g, i) for i, g in enumerate(groups)]
@@ -74,7 +48,7 @@ def _group_dim(spark: SparkSession, group: str, groups: list[str]) -> DataFrame:
 
 def group_auc(df: DataFrame, group="grp", label: str = "label", score: str = "score",
               groups: list[str] | None = None,
-              resolution: int = DEFAULT_RESOLUTION) -> DataFrame:
+              limit: int = ROWS_PER_RANGE) -> DataFrame:
     """Exact ROC-AUC per group, ties counted as one half.
 
     ``AUC = sum_s pos(s) * (neg_below(s) + neg(s)/2) / (n_pos * n_neg)``; null
@@ -87,7 +61,7 @@ def group_auc(df: DataFrame, group="grp", label: str = "label", score: str = "sc
     # the collapsed counts feed two branches (bucket totals, per-score ranks):
     # write them once so the input (often model scoring) is evaluated once
     cnt = materialize(score_counts(df, gs, label, score), "score-counts")
-    cum = cumulate_by_score(cnt, gs, score, ["neg"], resolution=resolution)
+    cum = cumulate(cnt, gs, score, ["neg"], limit=limit)
     per = cum.groupBy(*gs).agg(
         F.sum("pos").cast("bigint").alias("n_pos"),
         F.sum("neg").cast("bigint").alias("n_neg"),
@@ -112,24 +86,23 @@ def macro_mean(per_group: DataFrame, value: str = "auc", by=None,
     """Mean over groups of a per-group metric, skipping null (NaN never enters)."""
     bs = _as_list(by)
     return per_group.groupBy(*bs).agg(
-        F.round(F.avg(value), METRIC_DP).alias(out),
+        F.avg(value).alias(out),
         F.count(value).cast("bigint").alias("n_groups"))
 
 
 def average_precision(df: DataFrame, group="grp", label: str = "label",
-                      score: str = "score", resolution: int = DEFAULT_RESOLUTION) -> DataFrame:
+                      score: str = "score", limit: int = ROWS_PER_RANGE) -> DataFrame:
     """Average precision, step form over distinct thresholds (descending):
     ``sum_s pos(s)/n_pos * cum_pos(s)/cum_n(s)``. Null without positives."""
     gs = _as_list(group)
     cnt = materialize(score_counts(df, gs, label, score), "score-counts") \
         .withColumn("n", F.col("pos") + F.col("neg"))
-    cum = cumulate_by_score(cnt, gs, score, ["pos", "n"], descending=True,
-                            resolution=resolution)
+    cum = cumulate(cnt, gs, score, ["pos", "n"], descending=True, limit=limit)
     term = F.col("pos").cast("double") * F.col("cum_pos").cast("double") / F.col("cum_n").cast("double")
     per = cum.groupBy(*gs).agg(F.sum("pos").cast("bigint").alias("n_pos"),
                                F.sum("n").cast("bigint").alias("n_rows"),
                                F.sum(term).alias("__s"))
-    ap = F.when(F.col("n_pos") > 0, F.round(F.col("__s") / F.col("n_pos"), METRIC_DP))
+    ap = F.when(F.col("n_pos") > 0, F.col("__s") / F.col("n_pos"))
     return per.select(*gs, "n_pos", "n_rows", ap.alias("average_precision"))
 
 
@@ -158,8 +131,7 @@ def threshold_metrics(df: DataFrame, group="grp", label: str = "label", score: s
         agg = base.groupBy(g).agg(*aggs)
 
     def ratio(num, den):
-        return F.coalesce(F.round(F.try_divide(num.cast("double"), den.cast("double")), METRIC_DP),
-                          F.lit(0.0))
+        return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
 
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     return agg.select(g, "tp", "fp", "fn", "tn",
@@ -184,10 +156,10 @@ def cv_summary(fold_metrics: DataFrame, metric: str = "metric", value: str = "va
     null skipped; a metric with no value anywhere gets nulls."""
     v = F.when(F.isnan(value), None).otherwise(F.col(value))
     return (fold_metrics.withColumn("__v", v).groupBy(metric).agg(
-        F.round(F.avg("__v"), METRIC_DP).alias("mean"),
-        F.round(F.stddev_pop("__v"), METRIC_DP).alias("std"),
-        F.round(F.min("__v"), METRIC_DP).alias("min"),
-        F.round(F.max("__v"), METRIC_DP).alias("max"),
+        F.avg("__v").alias("mean"),
+        F.stddev_pop("__v").alias("std"),
+        F.min("__v").alias("min"),
+        F.max("__v").alias("max"),
         F.count("__v").cast("bigint").alias("n_folds")))
 
 
@@ -197,6 +169,6 @@ def score_stats(df: DataFrame, by="model", score: str = "score") -> DataFrame:
     v = F.when(F.isnan(score), None).otherwise(F.col(score))
     return (df.withColumn("__v", v).groupBy(*bs).agg(
         F.count("__v").cast("bigint").alias("n"),
-        F.round(F.min("__v"), METRIC_DP).alias("min_score"),
-        F.round(F.max("__v"), METRIC_DP).alias("max_score"),
-        F.round(F.avg("__v"), METRIC_DP).alias("mean_score")))
+        F.min("__v").alias("min_score"),
+        F.max("__v").alias("max_score"),
+        F.avg("__v").alias("mean_score")))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from screenlake.functions.scores import is_missing
 
-RATIO_DP = 9
 MIN_POSITIVES = 50
 
 
@@ -22,10 +21,8 @@ def _label_aggs(label: str):
 
 def _finish(df: DataFrame, *keep: str) -> DataFrame:
     neg = (F.col("n_rows") - F.col("n_pos")).cast("bigint")
-    pct = F.round(F.try_divide(F.lit(100.0) * F.col("n_pos").cast("double"),
-                               F.col("n_rows").cast("double")), RATIO_DP)
-    ratio = F.when(F.col("n_pos") > 0,
-                   F.round(neg.cast("double") / F.col("n_pos").cast("double"), RATIO_DP)) \
+    pct = F.try_divide(F.lit(100.0) * F.col("n_pos").cast("double"), F.col("n_rows").cast("double"))
+    ratio = F.when(F.col("n_pos") > 0, neg.cast("double") / F.col("n_pos").cast("double")) \
         .otherwise(F.lit(float("inf")))
     return df.select(*keep, "n_rows", "n_pos", neg.alias("n_neg"), pct.alias("pct_pos"),
                      ratio.alias("neg_per_pos"))
@@ -56,8 +53,7 @@ def cardinality_ratio(df: DataFrame, cols: list[str], exact: bool = True,
     row = df.agg(F.count(F.lit(1)).alias("__n"), *[cnt(c).alias(c) for c in cols])
     stack = ", ".join(f"'{c}', cast(`{c}` as bigint)" for c in cols)
     long = row.selectExpr("__n", f"stack({len(cols)}, {stack}) as (column_name, n_distinct)")
-    ratio = F.round(F.col("n_distinct").cast("double") /
-                    F.greatest(F.col("__n"), F.lit(1)).cast("double"), RATIO_DP)
+    ratio = F.col("n_distinct").cast("double") / F.greatest(F.col("__n"), F.lit(1)).cast("double")
     return long.select("column_name", F.col("__n").cast("bigint").alias("n_rows"),
                        F.col("n_distinct").cast("bigint"), ratio.alias("ratio"),
                        (ratio < F.lit(threshold)).alias("encode"))
@@ -129,5 +125,5 @@ def invalid_text_rate(df: DataFrame, text: str = "text", by: list[str] | None =
     return df.groupBy(*(by or [])).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_rows"),
         F.sum(F.when(bad, 1).otherwise(0)).cast("bigint").alias("n_invalid")) \
-        .withColumn("pct_invalid", F.round(F.try_divide(F.lit(100.0) * F.col("n_invalid").cast("double"),
-                                                        F.col("n_rows").cast("double")), RATIO_DP))
+        .withColumn("pct_invalid", F.try_divide(F.lit(100.0) * F.col("n_invalid").cast("double"),
+                                                F.col("n_rows").cast("double")))

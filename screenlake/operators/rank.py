@@ -2,10 +2,10 @@
 
 A plain ``row_number() over (partition by stratum order by hash)`` sends every
 row of a stratum to one task; with three groups and a 0.5% positive rate that
-is a third of the table in one sort. Both ranks here are *two-level*:
+is a third of the table in one sort. ``random_rank`` is *two-level*:
 
-1. an order-preserving bucket ``b`` of the sort key (a hex prefix of the hash,
-   or a range bucket of a numeric key) splits each stratum into many pieces;
+1. an order-preserving bucket ``b`` of the sort key (a hex prefix of the hash)
+   splits each stratum into many pieces;
 2. a small table of counts per (stratum, b) gets prefix sums -> bucket offsets;
 3. ``offset + row_number() over (partition by stratum, b order by ...)`` is the
    exact rank, computed by many tasks in parallel.
@@ -13,34 +13,21 @@ is a third of the table in one sort. Both ranks here are *two-level*:
 The result is identical to the plain window (tested). The offsets table is at
 most strata x 16^prefix rows; it is joined with an ordinary join so AQE can
 turn it into a broadcast after measuring it, and keep a shuffle join otherwise.
+Keys that are not hashes are unevenly spread: ``key_position`` takes its ranges
+from ``ordering``.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenlake.functions.hashing import hex_prefix, keyhash
+from screenlake.operators.ordering import ROWS_PER_RANGE, join_null_safe, nth_key, positions
 
 _H, _B, _OFF, _N = "__sl_h", "__sl_b", "__sl_off", "__sl_n"
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, cols: list[str],
-                   how: str = "inner") -> DataFrame:
-    """Equi-join on same-named columns with ``<=>`` (null groups match null groups)."""
-    if not cols:
-        raise ValueError("join_null_safe needs at least one key column")
-    r = right
-    for c in cols:
-        r = r.withColumnRenamed(c, f"__r_{c}")
-    cond = reduce(lambda a, b: a & b,
-                  [left[c].eqNullSafe(r[f"__r_{c}"]) for c in cols])
-    out = left.join(r, cond, how)
-    return out.drop(*[f"__r_{c}" for c in cols])
-
-
 def _bucket_offsets(x: DataFrame, parts: list[str]) -> DataFrame:
     counts = x.groupBy(*parts, _B).agg(F.count(F.lit(1)).alias(_N))
     w = (Window.partitionBy(*parts).orderBy(_B)
@@ -93,25 +80,16 @@ def random_rank_plain(df: DataFrame, partition_by: list[str] | tuple = (), key:
     return df.withColumn(out, F.row_number().over(w).cast("bigint"))
 
 
-def key_position(df: DataFrame, key: str, out: str = "pos", n_buckets: int = 4096,
-                 partition_by: list[str] | tuple = (),
-                 limit: int | None = None) -> DataFrame:
-    """Two-level ``row_number() over (order by key)`` for a unique numeric key.
-
-    Range buckets of width ``(max-min+1)/n_buckets`` replace the single global
-    sort. One small aggregate (min, max) runs first; its two scalars are the
-    only thing that reaches the driver. ``limit`` prunes buckets past it.
-    """
+def key_position(df: DataFrame, key: str, out: str = "pos", n_buckets: int | None = None,
+                 partition_by: list[str] | tuple = (), limit: int | None = None) -> DataFrame:
+    """``row_number() over (partition by P order by key)`` for a unique key of any orderable
+    type, from ranges with sampled borders (``ordering.positions``). ``n_buckets`` asks for
+    at least so many ranges. With ``limit`` only the rows up to that position are
+    kept, found before any row is shuffled (without ``partition_by``)."""
     parts = list(partition_by)
-    lo, hi = df.agg(F.min(key), F.max(key)).first()
-    if lo is None:
-        return df.withColumn(out, F.lit(None).cast("bigint"))
-    width = max(1, -(-(int(hi) - int(lo) + 1) // n_buckets))
-    x = df.withColumn(_B, F.floor((F.col(key) - F.lit(int(lo))) / F.lit(width)).cast("bigint"))
-    offs = _bucket_offsets(x.select(*parts, _B), parts).drop(_N)
-    if limit is not None:
-        offs = offs.where(F.col(_OFF) < F.lit(limit))
-    x = join_null_safe(x, offs, parts + [_B])
-    w = Window.partitionBy(*parts, _B).orderBy(key)
-    return (x.withColumn(out, (F.col(_OFF) + F.row_number().over(w)).cast("bigint"))
-            .drop(_B, _OFF))
+    if limit is not None and not parts:
+        last = nth_key(df, key, limit)
+        df = df.where(F.col(key) <= F.lit(last)) if last is not None else df.limit(0)
+    size = ROWS_PER_RANGE if n_buckets is None else max(2, 2 * df.count() // n_buckets)
+    out_rows = positions(df, key, out, parts, size)
+    return out_rows if limit is None else out_rows.where(F.col(out) <= limit)

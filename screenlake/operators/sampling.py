@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenlake.operators.rank import (_N, _OFF, join_null_safe, key_position, random_rank,
-                                       rank_buckets, rank_finish)
+from screenlake.functions.hashing import keyhash
+from screenlake.operators.ordering import join_null_safe
+from screenlake.operators.rank import _N, _OFF, key_position, random_rank, rank_buckets, rank_finish
 from screenlake.session import materialize
 
 # Fixed values from the reference configuration.
@@ -41,6 +42,7 @@ def stratified_sample(df: DataFrame, group: str = "grp", label: str = "label", k
         base.where(F.col(group).isNotNull())
     parts = [group, label]
     x, offs = rank_buckets(base, parts, key, seed, prefix)
+    offs = materialize(offs, "sample-offsets")      # read three times: totals, quotas, ranks
     # quotas from the small offsets table: one row per (group, label)
     tot = offs.groupBy(*parts).agg(F.sum(_N).alias("__tot"))
     cap = F.col("__tot") if max_positive is None else F.least(F.col("__tot"), F.lit(max_positive))
@@ -65,8 +67,7 @@ def chunk_ids(df: DataFrame, key: str = "key", chunk_size: int = DATA_CHUNK_SIZE
 
 def chunk_sample(df: DataFrame, label: str = "label", key: str = "key",
                  chunk_size: int = DATA_CHUNK_SIZE, negative_ratio: int = NEGATIVE_RATIO,
-                 seed: int = RANDOM_SEED, negatives: str = "not_positive",
-                 prefix: int = 3) -> DataFrame:
+                 seed: int = RANDOM_SEED, negatives: str = "not_positive") -> DataFrame:
     """Inside each chunk keep every positive and ``ratio * positives of
     the chunk`` negatives (all of them when fewer); a chunk without positives
     keeps no negatives. Groups are pooled.
@@ -79,19 +80,11 @@ def chunk_sample(df: DataFrame, label: str = "label", key: str = "key",
     x = chunk_ids(df, key, chunk_size).withColumn("is_pos", is_pos)
     if negatives == "zero":
         x = x.where(F.col("is_pos") | (F.col(label) == 0))
-    # positions feed both rank levels: compute them once
-    x = materialize(x, "chunk-positions")
-    parts = ["chunk_id", "is_pos"]
-    xb, offs = rank_buckets(x, parts, key, seed, prefix)
-    tot = offs.groupBy(*parts).agg(F.sum(_N).alias("__tot"))
-    npos = tot.where(F.col("is_pos")).select("chunk_id", F.col("__tot").alias("__np"))
-    quota = (tot.join(npos, "chunk_id", "left")
-             .select(*parts, F.when(F.col("is_pos"), F.col("__tot"))
-                     .otherwise(F.lit(negative_ratio) * F.coalesce("__np", F.lit(0)))
-                     .alias("__quota")))
-    offs = join_null_safe(offs, quota, parts).where(F.col(_OFF) < F.col("__quota"))
-    out = rank_finish(xb, offs, parts, key, "__rn")
-    return out.where(F.col("__rn") <= F.col("__quota")).drop("__quota", "__rn")
+    # a chunk has chunk_size rows at most: plain windows, and one shuffle serves both
+    n_pos = F.count(F.when(F.col("is_pos"), 1)).over(Window.partitionBy("chunk_id"))
+    rank = F.row_number().over(Window.partitionBy("chunk_id", "is_pos").orderBy(keyhash(key, seed), key))
+    x = x.withColumn("__np", n_pos).withColumn("__rn", rank)
+    return x.where(F.col("is_pos") | (F.col("__rn") <= negative_ratio * F.col("__np"))).drop("__np", "__rn")
 
 
 def window_positive_cap(sampled: DataFrame, group: str = "grp", key: str = "key",
@@ -106,10 +99,10 @@ def window_positive_cap(sampled: DataFrame, group: str = "grp", key: str = "key"
                            .cast("bigint"))
     if groups is not None:
         x = x.where(F.col(group).isin(groups))
-    pos = random_rank(x.where(F.col("is_pos")), ["window_id", group], key, seed, "__rn",
-                      limit=max_per_group)
-    pos = pos.where(F.col("__rn") <= max_per_group).drop("__rn")
-    return pos.unionByName(x.where(~F.col("is_pos")))
+    # a window has merge_interval chunks' rows at most: a plain window inside it
+    rank = F.row_number().over(Window.partitionBy("window_id", group, "is_pos").orderBy(keyhash(key, seed), key))
+    x = x.withColumn("__rn", F.when(F.col("is_pos"), rank).otherwise(0))
+    return x.where(F.col("__rn") <= max_per_group).drop("__rn")
 
 
 def early_stop_windows(capped: DataFrame, max_total: int = MAX_TOTAL_SAMPLES) -> DataFrame:

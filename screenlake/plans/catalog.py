@@ -28,6 +28,11 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def rounded(df: DataFrame, *cols: str, dp: int = 9) -> DataFrame:
+    """Operators do not round; the comparison with SQL does, for sums of doubles."""
+    return df.withColumns({c: F.round(c, dp) for c in cols})
+
+
 # --------------------------------------------------------------------------- metrics
 
 _AUC_SQL = """
@@ -76,7 +81,7 @@ def q_group_auc_with_gaps(spark, sf):
 @register("macro_auc", _AUC_SQL.format(view=V.ASSAY_SQL) + f"""
 SELECT round(avg({_AUC_SELECT}), 9) AS mean_auc, count({_AUC_SELECT})::bigint AS n_groups FROM p""")
 def q_macro_auc(spark, sf):
-    return M.macro_mean(M.group_auc(V.assay(spark, sf)))
+    return rounded(M.macro_mean(M.group_auc(V.assay(spark, sf))), "mean_auc")
 
 
 _AP_SQL = """
@@ -96,7 +101,7 @@ FROM r GROUP BY grp"""
 
 @register("average_precision", _AP_SQL.format(view=V.ASSAY_SQL))
 def q_average_precision(spark, sf):
-    return M.average_precision(V.assay(spark, sf))
+    return rounded(M.average_precision(V.assay(spark, sf)), "average_precision")
 
 
 @register("threshold_metrics", f"""
@@ -115,7 +120,7 @@ SELECT grp, tp, fp, fn, tn,
                       THEN (2 * tp)::double / (2 * tp + fp + fn)::double END, 9), 0.0) AS f1
 FROM t""")
 def q_threshold_metrics(spark, sf):
-    return M.threshold_metrics(V.assay_balanced(spark, sf), threshold=0.5)
+    return rounded(M.threshold_metrics(V.assay_balanced(spark, sf), threshold=0.5), "precision", "recall", "f1")
 
 
 @register("clip_scores", f"""
@@ -213,20 +218,20 @@ _PROFILE_FINISH = """n_rows, n_pos, (n_rows - n_pos)::bigint AS n_neg,
 @register("label_profile", f"""
 SELECT {_PROFILE_FINISH} FROM (SELECT {_PROFILE_COLS} FROM {V.ASSAY_SQL})""")
 def q_label_profile(spark, sf):
-    return P.label_profile(V.assay(spark, sf))
+    return rounded(P.label_profile(V.assay(spark, sf)), "pct_pos", "neg_per_pos")
 
 
 @register("group_label_profile", f"""
 SELECT grp, {_PROFILE_FINISH} FROM (SELECT grp, {_PROFILE_COLS} FROM {V.ASSAY_BALANCED_SQL} GROUP BY grp)""")
 def q_group_label_profile(spark, sf):
-    return P.group_label_profile(V.assay_balanced(spark, sf))
+    return rounded(P.group_label_profile(V.assay_balanced(spark, sf)), "pct_pos", "neg_per_pos")
 
 
 @register("profile_rollup", f"""
 SELECT grp, level, {_PROFILE_FINISH} FROM (
   SELECT grp, grouping(grp)::int AS level, {_PROFILE_COLS} FROM {V.ASSAY_SQL} GROUP BY ROLLUP (grp))""")
 def q_profile_rollup(spark, sf):
-    return P.profile_rollup(V.assay(spark, sf))
+    return rounded(P.profile_rollup(V.assay(spark, sf)), "pct_pos", "neg_per_pos")
 
 
 _CARD_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"]
@@ -238,7 +243,7 @@ _CARD_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_
   round(count(DISTINCT {c})::double / greatest(count(*), 1)::double, 9) < 0.5 AS encode FROM orders"""
     for c in _CARD_COLS))
 def q_cardinality_ratio(spark, sf):
-    return P.cardinality_ratio(V.table(spark, sf, "orders"), _CARD_COLS)
+    return rounded(P.cardinality_ratio(V.table(spark, sf, "orders"), _CARD_COLS), "ratio")
 
 
 @register("split_label", f"""

@@ -12,7 +12,7 @@ from screenlake.operators import metrics as M
 from screenlake.operators import profile as P
 from screenlake.plans import sql_text as Q
 from screenlake.plans import views as V
-from screenlake.plans.catalog import register
+from screenlake.plans.catalog import register, rounded
 from screenlake.session import materialize, shared_dir
 from screenlake.sources import files as SF
 from screenlake.sources import parquet as SP
@@ -70,10 +70,15 @@ lng AS (SELECT {byc}grp || '_auc' AS metric, auc AS value FROM g
         {'GROUP BY ' + by if by else ''})"""
 
 
+def _mean_rounded(long):
+    """The SQL rounds the mean over groups (a sum of doubles), not the values themselves."""
+    return long.withColumn("value", F.when(F.col("metric") == "mean_auc", F.round("value", 9)).otherwise(F.col("value")))
+
+
 @register("oof_group_auc", "WITH " + _auc_long_sql(f"(SELECT grp, label, oof_pred AS s FROM {_OOF_SQL})")
           + "\nSELECT metric, value FROM lng")
 def q_oof_group_auc(spark, sf):
-    return E.oof_group_auc(_oof(spark, sf))
+    return _mean_rounded(E.oof_group_auc(_oof(spark, sf)))
 
 
 @register("cv_summary", "WITH " + _auc_long_sql(
@@ -84,7 +89,7 @@ FROM (SELECT metric, CASE WHEN isnan(value) THEN NULL ELSE value END AS v FROM l
 def q_cv_summary(spark, sf):
     a = FO.stratified_folds(V.assay(spark, sf), n_folds=5)
     per = M.group_auc(a, ["fold", "grp"], "label", "score")
-    return M.cv_summary(M.metrics_long(per, "grp", "auc", by="fold"))
+    return rounded(M.cv_summary(_mean_rounded(M.metrics_long(per, "grp", "auc", by="fold"))), "mean", "std", "min", "max")
 
 
 _STACK_SQL = f"""(SELECT key, 'score' AS model, score FROM {V.ASSAY_SQL}
@@ -99,7 +104,7 @@ def _stacked(spark, sf):
 @register("ensemble_mean", f"""
 SELECT key, round(avg(score), 9) AS ensemble, count(score)::bigint AS n_models FROM {_STACK_SQL} GROUP BY key""")
 def q_ensemble_mean(spark, sf):
-    return E.ensemble_mean(_stacked(spark, sf)).withColumn("ensemble", F.round("ensemble", 9))
+    return rounded(E.ensemble_mean(_stacked(spark, sf)), "ensemble")
 
 
 @register("weighted_blend", f"""
@@ -108,7 +113,7 @@ JOIN (VALUES ('score', 0.5::double), ('score2', 0.25::double), ('score3', 0.25::
   ON s.model = wt.model GROUP BY key""")
 def q_weighted_blend(spark, sf):
     blend = E.weighted_blend(_stacked(spark, sf), {"score": 2.0, "score2": 1.0, "score3": 1.0})
-    return blend.withColumn("blend", F.round("blend", 9))
+    return rounded(blend, "blend")
 
 
 @register("score_stats", f"""
@@ -120,7 +125,7 @@ def q_score_stats(spark, sf):
     long = _stacked(spark, sf)
     ens = long.groupBy("key").agg(F.avg("score").alias("score")).select(
         "key", F.lit("ensemble").alias("model"), "score")
-    return M.score_stats(long.unionByName(ens), "model", "score")
+    return rounded(M.score_stats(long.unionByName(ens), "model", "score"), "min_score", "max_score", "mean_score")
 
 
 # ------------------------------------------------------------------ template / submission
@@ -298,7 +303,7 @@ SELECT grp, count(*)::bigint AS n_rows, sum(CASE WHEN v THEN 0 ELSE 1 END)::bigi
 FROM (SELECT grp, {Q.valid("text")} AS v
       FROM {V.TEXTS_SQL}) GROUP BY grp""")
 def q_invalid_text_rate(spark, sf):
-    return P.invalid_text_rate(V.texts(spark, sf), by=["grp"])
+    return rounded(P.invalid_text_rate(V.texts(spark, sf), by=["grp"]), "pct_invalid")
 
 
 @register("distinct_featurize", f"""
@@ -379,7 +384,7 @@ s AS (SELECT bit, n_docs::bigint AS n_docs, n_pos::bigint AS n_pos,
 SELECT bit, n_docs, n_pos, lift, (row_number() OVER (ORDER BY lift DESC, bit))::int AS rank FROM s
 ORDER BY lift DESC, bit LIMIT 20""")
 def q_token_gain_topk(spark, sf):
-    return X.token_gain_topk(V.docs(spark, sf), k=20, nbits=_NB)
+    return rounded(X.token_gain_topk(V.docs(spark, sf), k=20, nbits=_NB), "lift")
 
 
 @register("csv_first_n", f"""

@@ -73,7 +73,7 @@ def test_group_auc_matches_brute_force_with_ties(spark):
     rnd = random.Random(7)
     rows = [(g, int(rnd.random() < 0.3), round(rnd.uniform(-3, 3), 1)) for g in "xyz" for _ in range(300)]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = {r.grp: r.auc for r in M.group_auc(df, resolution=4).collect()}
+    got = {r.grp: r.auc for r in M.group_auc(df, limit=4).collect()}
     for g in "xyz":
         exp = _brute_auc([(y, s) for gg, y, s in rows if gg == g])
         assert abs(got[g] - exp) < 1e-12
@@ -116,6 +116,6 @@ def test_average_precision_matches_brute_force(spark):
     rnd = random.Random(5)
     rows = [(g, int(rnd.random() < 0.25), round(rnd.uniform(0, 2), 1)) for g in "uv" for _ in range(400)]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = {r.grp: r.average_precision for r in M.average_precision(df, resolution=3).collect()}
+    got = {r.grp: r.average_precision for r in M.average_precision(df, limit=3).collect()}
     for g in "uv":
         assert abs(got[g] - _brute_ap([(y, s) for gg, y, s in rows if gg == g])) < 1e-8

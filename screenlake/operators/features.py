@@ -23,8 +23,10 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from screenlake.functions.hashing import hash_bucket
+from screenlake.operators.skew import salted_join
 
 # Fingerprint widths by kind.
 FP_WIDTHS = {"morgan": 512, "maccs": 167, "both": 512 + 167}
@@ -235,20 +237,22 @@ def distinct_featurize(df: DataFrame, text: str = "text", kernel: KernelFn = bas
     """FP3/J4: run ``kernel`` once per distinct text and join the features back.
 
     ``kernel`` receives pandas batches with a ``text`` column and returns the
-    ``schema`` columns (keeping ``text``). It runs in Arrow batches on the
-    executors; the distinct is a shuffle that spreads strings by hash.
+    ``schema`` columns (keeping ``text`` and the order of rows). It runs in Arrow
+    batches on the executors; the distinct is a shuffle that spreads strings by hash.
+    Rows meet their features by md5 of the text, salted for texts that many rows share.
     """
     dist = df.select(F.col(text).alias("text")).where(F.col("text").isNotNull()).distinct()
+    dist = dist.withColumn("__tid", F.md5("text"))
     _ship_by_value()
 
     def run(batches):
         for pdf in batches:
-            yield kernel(pdf)
+            yield kernel(pdf.drop(columns="__tid")).assign(__tid=pdf["__tid"].to_numpy()).drop(columns="text")
 
-    feats = dist.mapInPandas(run, schema)
-    if text != "text":
-        feats = feats.withColumnRenamed("text", text)
-    return df.join(feats, text, "left")
+    kept = [f for f in T.StructType.fromDDL(schema) if f.name != "text"]
+    feats = dist.mapInPandas(run, T.StructType([*kept, T.StructField("__tid", T.StringType())]))
+    rows = df.withColumn("__tid", F.md5(F.col(text)))
+    return salted_join(rows, feats, "__tid", "left").drop("__tid")
 
 
 # ------------------------------------------------------------------ J5 group encoding
@@ -306,7 +310,7 @@ def feature_table_long(df: DataFrame, groups: list[str], key: str = "key", text:
                 .agg(F.sum("__it.value").alias("value"))
                 .where(F.col("value") != 0))
     rows = df.select(key, group, F.md5(F.col(text)).alias("__tid"))
-    x = rows.join(per_text, "__tid").select(key, F.col("feature_idx").cast("int"), "value")
+    x = salted_join(rows, per_text, "__tid").select(key, F.col("feature_idx").cast("int"), "value")
     base = nbits + len(DESCRIPTOR_NAMES)
     gpairs = F.array(*[F.when(F.col(group) == g, F.lit(base + i)) for i, g in enumerate(groups)])
     oh = rows.select(key, F.explode(F.filter(gpairs, lambda v: v.isNotNull())).alias("feature_idx")) \

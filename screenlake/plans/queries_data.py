@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from screenlake.functions.hashing import hash_unit
 from screenlake.operators import ensemble as E
+from screenlake.operators import entities as EN
 from screenlake.operators import features as X
 from screenlake.operators import folds as FO
 from screenlake.operators import metrics as M
 from screenlake.operators import profile as P
+from screenlake.operators import skew as SK
 from screenlake.plans import sql_text as Q
 from screenlake.plans import views as V
 from screenlake.plans.catalog import register, rounded
@@ -396,3 +398,76 @@ def q_csv_first_n(spark, sf):
     path = SF.write_csv(a, shared_dir(spark, "small-csv"))
     return SF.read_small_csv(spark, path, "key BIGINT, grp STRING, label TINYINT",
                              first_n=50, order_by="key")
+
+
+# ------------------------------------------------------------------ building blocks
+
+# Orders as assembled rows: a customer is a block; one status makes one heavy group.
+_BLOCKS_SQL = f"""(SELECT a.key, a.grp, a.label, o.o_custkey AS blk, CASE WHEN o.o_orderstatus = 'P' THEN 'status P'
+    ELSE 'customer ' || o.o_custkey::varchar END AS grp_key, o.o_orderpriority AS b1, o.o_orderstatus || ' ' || o.o_orderpriority AS b2
+  FROM {V.ASSAY_SQL} a JOIN orders o ON a.key = o.o_orderkey)"""
+DIVERSE_ROWS = 5000
+
+
+def _blocks(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    return o.select(F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("grp"),
+                    (F.col("o_totalprice") > V.ASSAY_PRICE_CUT).cast("int").alias("label"), F.col("o_custkey").alias("blk"),
+                    F.when(F.col("o_orderstatus") == "P", "status P").otherwise(F.concat(F.lit("customer "), F.col("o_custkey").cast("string"))).alias("grp_key"),
+                    F.col("o_orderpriority").alias("b1"), F.concat_ws(" ", "o_orderstatus", "o_orderpriority").alias("b2"))
+
+
+@register("diversity_sample", f"""
+WITH b AS {_BLOCKS_SQL}, per AS (SELECT blk, count(*) AS n FROM b GROUP BY blk),
+lev AS (SELECT max(l) AS l FROM unnest(range(0, (SELECT max(n) + 1 FROM per))) AS t(l)
+        WHERE (SELECT sum(least(n, l)) FROM per) <= {DIVERSE_ROWS}),
+more AS (SELECT blk FROM per, lev WHERE n > l ORDER BY {Q.kh('blk')}, blk
+         LIMIT (SELECT {DIVERSE_ROWS} - sum(least(n, l)) FROM per, lev)),
+quota AS (SELECT per.blk, least(n, l) + CASE WHEN more.blk IS NULL THEN 0 ELSE 1 END AS q FROM per CROSS JOIN lev LEFT JOIN more ON per.blk = more.blk),
+r AS (SELECT *, row_number() OVER (PARTITION BY blk ORDER BY {Q.kh('key')}, key) AS rn FROM b)
+SELECT key, grp, label, r.blk FROM r JOIN quota ON r.blk = quota.blk WHERE rn <= q""")
+def q_diversity_sample(spark, sf):
+    return EN.diversity_sample(_blocks(spark, sf).select("key", "grp", "label", "blk"), "blk", DIVERSE_ROWS)
+
+
+@register("block_features", f"""
+WITH b AS {_BLOCKS_SQL}, s AS (SELECT key, 0 AS i, b1 AS text FROM b UNION ALL SELECT key, 1, b2 FROM b),
+src AS (SELECT key::varchar || '/' || i::varchar AS key, key AS k, i, text FROM s), g AS ({Q.grams('text')}),
+f AS (SELECT key, {Q.hash_bucket('gram', 256)} AS bit, count(*) AS c FROM g GROUP BY ALL)
+SELECT split_part(key, '/', 1)::bigint AS key, (split_part(key, '/', 2)::int * 256 + bit)::int AS feature_idx, c::double AS value FROM f""")
+def q_block_features(spark, sf):
+    return EN.block_features(_blocks(spark, sf), ["b1", "b2"], nbits=256)
+
+
+# The same placement: largest group first, where the greater of its fold's shares stays least.
+_COST = ", ".join(f"greatest((lr[{i}] + h.n)::double / r::double, (lp[{i}] + h.p)::double / greatest(s, 1)::double)" for i in range(1, 6))
+_ROOMS = [f"greatest(0.0::double, r::double / 5 - lr[{i}]::double)" for i in range(1, 6)]
+
+
+@register("balanced_group_folds", f"""
+WITH RECURSIVE b AS {_BLOCKS_SQL}, per AS (SELECT grp_key AS g, count(*) AS n, count(*) FILTER (label = 1) AS p FROM b GROUP BY grp_key),
+tot AS (SELECT sum(n)::bigint AS r, sum(p)::bigint AS s FROM per),
+heavy AS (SELECT g, n, p, row_number() OVER (ORDER BY n DESC, {Q.kh('g')}) AS k FROM per, tot WHERE n * 100 > r),
+place(k, g, f, lr, lp) AS (
+  SELECT 0::bigint, ''::varchar, 0::bigint, [0, 0, 0, 0, 0]::bigint[], [0, 0, 0, 0, 0]::bigint[]
+  UNION ALL
+  SELECT k, g, f, [lr[i] + CASE WHEN i = f THEN n ELSE 0 END for i in [1, 2, 3, 4, 5]], [lp[i] + CASE WHEN i = f THEN p ELSE 0 END for i in [1, 2, 3, 4, 5]]
+  FROM (SELECT h.k, h.g, h.n, h.p, lr, lp, list_position([{_COST}], list_min([{_COST}]))::bigint AS f
+        FROM place JOIN heavy h ON h.k = place.k + 1, tot)),
+fin AS (SELECT lr FROM place ORDER BY k DESC LIMIT 1),
+edges AS (SELECT {', '.join(f"({' + '.join(_ROOMS[:i])}) / ({' + '.join(_ROOMS)}) AS e{i}" for i in range(1, 5))} FROM fin, tot),
+u AS (SELECT g, ('0x' || substr({Q.kh('g')}, 1, 8))::bigint::double / 4294967296.0::double AS u FROM per),
+fold AS (SELECT u.g, coalesce(place.f - 1, CASE WHEN u < e1 THEN 0 WHEN u < e2 THEN 1 WHEN u < e3 THEN 2 WHEN u < e4 THEN 3 ELSE 4 END)::int AS fold
+         FROM u CROSS JOIN edges LEFT JOIN place ON place.k > 0 AND place.g = u.g)
+SELECT b.key, b.grp_key, fold.fold FROM b JOIN fold ON b.grp_key = fold.g""")
+def q_balanced_group_folds(spark, sf):
+    return EN.balanced_group_folds(_blocks(spark, sf).select("key", "grp_key", "label"), "grp_key").select("key", "grp_key", "fold")
+
+
+_DECIDE_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+
+
+@register("encode_decision", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c})::double / greatest(count(*), 1)::double < 0.5 AS encode FROM orders" for c in _DECIDE_COLS))
+def q_encode_decision(spark, sf):
+    return SK.encode_decision(spark.read.parquet(f"{sf}/orders.parquet"), _DECIDE_COLS)

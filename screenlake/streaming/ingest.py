@@ -19,12 +19,15 @@ Checkpoints and sinks live under the shared folder of ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenlake.operators.rank import random_rank
 from screenlake.session import shared_dir
 
+CHUNK_BYTES = 512 << 20     # of files in a micro-batch
+
 
 def stage_files(df: DataFrame, n_files: int, key: str, name: str = "stage") -> str:
     """Write ``df`` as ``n_files`` parquet files (hash-partitioned by key) in a
@@ -34,10 +37,15 @@ def stage_files(df: DataFrame, n_files: int, key: str, name: str = "stage") -> s
     return path
 
 
-def file_stream(spark: SparkSession, src: str, schema, max_files: int = 2) -> DataFrame:
-    """M1: a bounded file stream, ``max_files`` files per micro-batch."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-            .parquet(src))
+def file_stream(spark: SparkSession, src: str, schema, max_files: int | None = None,
+                max_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """M1: a bounded stream of the files of ``src`` (a folder or one file) where they lie,
+    ``max_bytes`` of them per micro-batch, or ``max_files`` files."""
+    stream = spark.readStream.schema(schema)
+    stream = stream.option("maxFilesPerTrigger", max_files) if max_files else \
+        stream.option("maxBytesPerTrigger", max_bytes)
+    src = src.rstrip("/")
+    return stream.parquet(f"{src[:-1]}[{src[-1]}]")      # a pattern may name a single file
 
 
 def run_to_sink(stream: DataFrame, sink: str, checkpoint: str,
@@ -54,7 +62,7 @@ def run_to_sink(stream: DataFrame, sink: str, checkpoint: str,
 
 
 def ingest(spark: SparkSession, src: str, schema, sink: str, checkpoint: str,
-           max_files: int = 2, transform=None) -> int:
+           max_files: int | None = None, transform=None) -> int:
     """M1/M3: stream ``src`` through an optional stateless ``transform`` into
     ``sink``. Rerunning with the same checkpoint processes only new files."""
     s = file_stream(spark, src, schema, max_files)
@@ -98,12 +106,23 @@ def stream_chunk_sample(spark: SparkSession, src: str, schema, sink: str, checkp
     return len(q.recentProgress)
 
 
+def read_if_there(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``; None only if there is no such path (any other error is raised)."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        # a run that has not written yet has an empty folder at most
+        if e.getCondition() == "PATH_NOT_FOUND" or e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
+
+
 def completed_chunks(spark: SparkSession, out_dir: str, chunk: str = "chunk_id") -> DataFrame:
     """The ledger: chunk ids already written to ``out_dir`` (empty if none)."""
-    try:
-        return spark.read.parquet(out_dir).select(chunk).distinct()
-    except Exception:   # no output yet
+    done = read_if_there(spark, out_dir)
+    if done is None:
         return spark.createDataFrame([], f"{chunk} bigint")
+    return done.select(chunk).distinct()
 
 
 def pending_chunks(all_rows: DataFrame, spark: SparkSession, out_dir: str,

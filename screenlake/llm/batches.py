@@ -97,10 +97,6 @@ def words(data: np.ndarray, offs: np.ndarray, member: np.ndarray
     return starts, ends, np.searchsorted(offs, starts, "right") - 1
 
 
-ODD = 0x9E3779B97F4A7C15
-_M = (1 << 64) - 1
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash; ``x`` is uint64 and is not changed."""
     x = x ^ (x >> np.uint64(30))
@@ -111,30 +107,74 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_POW: dict[str, np.ndarray] = {}
+# Hashes of slices are polynomials modulo the prime 2**61 - 1 at one of two fixed random
+# points, so different slices of one length agree with a chance of length / 2**61. (Modulo
+# 2**64 some strings agree at every point.)
+P61 = np.uint64((1 << 61) - 1)
+POINTS = (170528681114438561, 1957470946349857656)
+
+
+def mod61(x: np.ndarray) -> np.ndarray:
+    """``x`` (any uint64) modulo the prime."""
+    x = (x & P61) + (x >> np.uint64(61))
+    return x - P61 * (x >= P61)
+
+
+def mul61(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Product of residues, from halves of 30 and 31 bits."""
+    au, ad, bu, bd = a >> np.uint64(31), a & np.uint64(0x7FFFFFFF), b >> np.uint64(31), b & np.uint64(0x7FFFFFFF)
+    mid = ad * bu + au * bd
+    return mod61((au * bu << np.uint64(1)) + (mid >> np.uint64(30)) + ((mid & np.uint64(0x3FFFFFFF)) << np.uint64(31)) + ad * bd)
+
 
+def sub61(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mod61(a + (P61 - b))
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """B**i and B**-i modulo 2**64 for i < n (B odd), kept per worker."""
-    if not _POW or _POW["p"].size < n:
-        m = max(n, PIECE_BYTES + 1)
-        inv = pow(ODD, -1, 1 << 64)
-        for name, b in (("p", ODD), ("q", inv)):
-            a = np.full(m, b, np.uint64)
-            a[0] = 1
-            _POW[name] = np.cumprod(a, dtype=np.uint64)
-    return _POW["p"][:n], _POW["q"][:n]
 
+def _shifted(x: np.ndarray, k: int) -> np.ndarray:
+    """A residue times 2**k: a rotation of its 61 bits."""
+    return (x << np.uint64(k)) & P61 | x >> np.uint64(61 - k)
 
-def prefix_hash(values: np.ndarray) -> np.ndarray:
-    """Prefix sums of (value + 1) * B**i; ``span_hash`` turns them into hashes of any slice."""
-    p, _ = powers(values.size + 1)
+
+_POW: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(n: int, point: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """x**i and x**-i for i < n at one of the points, kept per worker."""
+    if point not in _POW or _POW[point][0].size < n:
+        x, size = POINTS[point], max(n, PIECE_BYTES + 2)
+        both = []
+        for y in (x, pow(x, -1, int(P61))):
+            a = np.ones(1, np.uint64)
+            while a.size < size:
+                a = np.concatenate([a, mul61(a[:size - a.size], np.uint64(pow(y, a.size, int(P61))))])
+            both.append(a)
+        _POW[point] = both[0], both[1]
+    return _POW[point][0][:n], _POW[point][1][:n]
+
+
+def prefix_hash(values: np.ndarray, point: int = 0) -> np.ndarray:
+    """Prefix sums of (value + 1) * x**i; ``span_hash`` turns them into hashes of any slice."""
+    p, _ = powers(values.size + 1, point)
+    p, v = p[:-1], values.astype(np.uint64)
     out = np.zeros(values.size + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * p[:-1], out=out[1:], dtype=np.uint64)
+    if values.dtype.itemsize == 1 and values.size < 1 << 22:       # sums of the two halves stay below 2**64
+        v += np.uint64(1)
+        low, high = np.cumsum(v * (p & np.uint64(0xFFFFFFFF))), np.cumsum(v * (p >> np.uint64(32)))
+        out[1:] = mod61(mod61(low) + _shifted(mod61(high), 32))
+        return out
+    t = mul61(mod61(v) + np.uint64(1), p)
+    low, high = np.cumsum(t & np.uint64(0x3FFFFFFF)), np.cumsum(t >> np.uint64(30))
+    out[1:] = mod61(mod61(low) + _shifted(mod61(high), 30))
     return out
 
 
-def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_value(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, point: int = 0) -> np.ndarray:
+    """The polynomial of each slice [start, end), wherever it lies."""
+    _, q = powers(prefix.size, point)
+    return mul61(sub61(prefix[ends], prefix[starts]), q[starts])
+
+
+def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, point: int = 0) -> np.ndarray:
     """Position-independent hash of each slice [start, end)."""
-    _, q = powers(prefix.size)
-    return mix((prefix[ends] - prefix[starts]) * q[starts] + (ends - starts).astype(np.uint64))
+    return mix(span_value(prefix, starts, ends, point) + (ends - starts).astype(np.uint64))

@@ -41,7 +41,6 @@ SHARD_BYTES = 1 << 20
 HOT = 2000
 BLOCK = 16
 BROADCAST_BYTES = 64 << 20
-_SECOND = np.uint64(0xD1B54A32D192ED03)
 
 
 def parts(batch: pa.RecordBatch, length: int):
@@ -103,7 +102,7 @@ def _contexts(src: DataFrame, kind: T.DataType, shared, length: int, gram: int)
                 hit = np.flatnonzero(may_hold(shared.value, key))
                 key, doc, first, stop = key[hit], doc[hit], first[hit], last[hit] + length
                 h1 = span_hash(pre, first, stop)
-                h2 = span_hash(prefix_hash(mix(data.astype(np.uint64) + _SECOND) >> np.uint64(8)), first, stop)
+                h2 = span_hash(prefix_hash(data, 1), first, stop, 1)
                 fresh = np.zeros(hit.size, bool)
                 fresh[np.unique(np.stack([key, h1, h2], axis=1), axis=0, return_index=True)[1]] = True
                 raw = data.tobytes()
@@ -188,7 +187,7 @@ def _blocks(rows: DataFrame, length: int, block: int = BLOCK) -> DataFrame:
                 key = part.column(0).to_numpy(zero_copy_only=False).view(np.uint64)[which]
                 k = mix(span_hash(pre, common, common + length - block + 1) ^ (key + j.astype(np.uint64)))
                 s1 = span_hash(pre, base + a, base + b)
-                s2 = span_hash(prefix_hash(mix(data.astype(np.uint64) + _SECOND) >> np.uint64(8)), base + a, base + b)
+                s2 = span_hash(prefix_hash(data, 1), base + a, base + b, 1)
                 raw, at = data.tobytes(), pa.array(which)
                 text = [raw[x:y] for x, y in zip((base + a).tolist(), (base + b).tolist())]
                 yield pa.RecordBatch.from_arrays([*(part.column(c).take(at) for c in range(4)), pa.array(text, pa.binary()),
@@ -222,7 +221,7 @@ def _by_window(rows: DataFrame, length: int) -> DataFrame:
                 place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
                 a = offs[:-1][which] + place
                 w1 = span_hash(prefix_hash(data), a, a + length)
-                w2 = span_hash(prefix_hash(mix(data.astype(np.uint64) + _SECOND) >> np.uint64(8)), a, a + length)
+                w2 = span_hash(prefix_hash(data, 1), a, a + length, 1)
                 at = pa.array(which)
                 yield pa.RecordBatch.from_arrays([*(part.column(c).take(at) for c in range(4)), pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), pa.array(place)],
                                                  names=["key", "h1", "h2", "n", "w1", "w2", "place"])

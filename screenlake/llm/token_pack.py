@@ -15,7 +15,8 @@ between ASCII white space are encoded independently of each other. Each
 worker encodes different runs with the library and keeps them in a table, which holds at
 most ``KEPT_RUNS`` runs (about 50 MB), drops those not met again when it is full, and
 outlives a task; documents are put together with numpy. Runs are found
-by hash and compared byte for byte; if two differ under one hash, the library
+by hash and compared byte for byte with each other in a piece, and by a second hash at
+another point (122 bits together) with the table; if two differ under one hash, the library
 encodes those texts whole.
 """
 
@@ -32,14 +33,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from screenlake.llm.batches import NOT_SPACE, map_batches, mix, pieces, prefix_hash, span_hash, words
+from screenlake.llm.batches import NOT_SPACE, map_batches, pieces, prefix_hash, span_hash, words
 from screenlake.session import shared_dir
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
 KEPT_RUNS = 1 << 20
 ENCODE_PIECE = 1 << 21
-BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64))     # byte values of a second hash, independent of the first
 
 
 def id_width(vocab_size: int) -> int:
@@ -111,7 +111,7 @@ class RunEncoder:
         if same:
             inside = np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens)
             same = np.array_equal(data[np.repeat(starts, lens) + inside], data[np.repeat(starts[rep], lens) + inside])
-        check = span_hash(prefix_hash(BYTE_VALUES[data]), starts[first], ends[first])
+        check = span_hash(prefix_hash(data, 1), starts[first], ends[first], 1)
         known = np.minimum(np.searchsorted(self.key, u), max(self.key.size - 1, 0))
         hit = self.key[known] == u if self.key.size else np.zeros(u.size, bool)
         if not same or (hit & (self.check[known] != check if self.key.size else hit)).any():

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from screenlake.llm.batches import ALNUM, lower_ascii, map_batches, pieces, prefix_hash, span_hash, words
+from screenlake.llm.names import column, free
 
 WINDOW = 10
 BLOCK_WORDS = 4_000_000
@@ -104,16 +105,17 @@ def merged(ranges: list) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def _scan(docs: DataFrame, wins: dict, item_kind: str) -> DataFrame:
+def _scan(docs: DataFrame, wins: dict, item_kind: str, text_col: str = "__text", names=("__n_words", "__spans", "__items")) -> DataFrame:
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(wins)
     long, item = T.LongType(), T.LongType() if item_kind == "bigint" else T.StringType()
     span = T.StructType([T.StructField("a", long), T.StructField("b", long)])
-    schema = T.StructType([*docs.schema.fields, T.StructField("__n_words", long), T.StructField("__spans", T.ArrayType(span)), T.StructField("__items", T.ArrayType(item))])
+    n_words_col, spans_col, items_col = names
+    schema = T.StructType([*docs.schema.fields, T.StructField(n_words_col, long), T.StructField(spans_col, T.ArrayType(span)), T.StructField(items_col, T.ArrayType(item))])
 
     def run(batches):
         for batch in batches:
-            for rows, data, offs in pieces(batch, "__text"):
+            for rows, data, offs in pieces(batch, text_col):
                 n_words, ranges, items = scan_piece(data, offs, shared.value)
                 n = rows.num_rows
                 span = [[{"a": a, "b": b} for a, b in merged(ranges.get(i, []))] for i in range(n)]
@@ -121,7 +123,7 @@ def _scan(docs: DataFrame, wins: dict, item_kind: str) -> DataFrame:
                     [*rows.columns, pa.array(n_words.astype(np.int64)),
                      pa.array(span, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))),
                      pa.array([sorted(items.get(i, ())) for i in range(n)], pa.list_(pa.int64() if item_kind == "bigint" else pa.string()))],
-                    names=[*rows.schema.names, "__n_words", "__spans", "__items"])
+                    names=[*rows.schema.names, *names])
     return map_batches(docs, run, schema)
 
 
@@ -184,17 +186,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         raise ValueError("mode must be 'documents' or 'spans'")
     kind = benchmark.schema["item_id"].dataType.simpleString()
     bench = benchmark if kind == "bigint" else benchmark.withColumn("item_id", F.col("item_id").cast("string"))
-    src, cols = docs.withColumn("__text", F.col(text_col)), docs.columns
+    cols = docs.columns
+    text, *names = free(docs, "__text", "__n_words", "__spans", "__items")
+    spans, src = names[1], docs.withColumn(text, column(text_col))
     for block in item_blocks(bench, "item_id", "text", BLOCK_WORDS):
-        hit = _scan(src, window_set(block, n), "bigint" if kind == "bigint" else "string")
+        hit = _scan(src, window_set(block, n), "bigint" if kind == "bigint" else "string", text, names)
         if mode == "documents":
-            src = hit.filter(F.size("__spans") == 0)
+            src = hit.filter(F.size(spans) == 0)
         else:
             cut = F.udf(remove_spans, "string")
-            src = hit.withColumn(text_col, F.when(F.size("__spans") > 0, cut("__text", "__spans")).otherwise(F.col(text_col)))
-            src = src.withColumn("__text", F.col(text_col))
-        src = src.select(*cols, "__text")
-    return src.select(*cols)
+            src = hit.withColumn(text_col, F.when(F.size(spans) > 0, cut(text, spans)).otherwise(column(text_col)))
+            src = src.withColumn(text, column(text_col))
+        src = src.select(*[column(c) for c in cols], text)
+    return src.select(*[column(c) for c in cols])
 
 
 def item_digest(items: str = "items"):

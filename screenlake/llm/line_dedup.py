@@ -32,6 +32,7 @@ from screenlake.operators.ordering import positions
 from screenlake.session import materialize
 
 FUZZY_FROM = 16
+RANKED = 1 << 13         # candidate lines one task puts in order
 LINE_PIECE = 1 << 19     # code points and two prefix sums take some 60 bytes a byte
 
 
@@ -152,7 +153,7 @@ def near_claims(lines: DataFrame) -> DataFrame:
     """``(h1, near_id)``: line ``h1`` has an earlier line, of document ``near_id``, within one
     edit. ``lines`` has one row per distinct line: doc_id, line_no, h1, line."""
     # one number says which of two lines is earlier
-    lines = materialize(positions(lines.withColumn("__at", F.struct("doc_id", "line_no", "h1")), "__at", "rank").select("rank", "h1", "doc_id", "line"), "line-ranks")
+    lines = materialize(positions(lines.withColumn("__at", F.struct("doc_id", "line_no", "h1")), "__at", "rank", limit=RANKED).select("rank", "h1", "doc_id", "line"), "line-ranks")
     v = _variants(lines)
     # earliest line of each role under a key; a key with one line makes no claim
     per_key = v.groupBy("key").agg(*[F.min(F.when(F.col("role") == r, F.col("rank"))).alias(f"m{r}") for r in (0, 1, 2)],

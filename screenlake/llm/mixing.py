@@ -25,13 +25,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from screenlake.llm.names import column, free
 from screenlake.session import materialize
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 BLOCKS = 256
 BLOCK_DOCS = 64         # documents of a block that are worth a block of its own
-LEVELS = 4              # 2**LEVELS output shards
+LEVELS = 4              # 2**LEVELS output shards at least
+SHARD_WORDS = 1 << 23   # words of a shard, beyond that there are more shards
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -99,7 +101,12 @@ def _same(a: str, b: str) -> Column:
     return F.col(a).eqNullSafe(F.col(b))
 
 
-def plan_mix(rows: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, blocks: int = BLOCKS, levels: int = LEVELS) -> DataFrame:
+def tree_levels(words: int) -> int:
+    """Levels of the splitting tree for so many words."""
+    return max(LEVELS, (max(words, 1) // SHARD_WORDS).bit_length())
+
+
+def plan_mix(rows: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, blocks: int = BLOCKS, levels: int | None = None) -> DataFrame:
     """``rows (doc_id, source, size, h, block)`` with ``source_size``, ``target`` and
     ``copies``, an array with (epoch, shard) of each time the mix takes the document."""
     fine = rows.groupBy("source", "block").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs"))
@@ -109,6 +116,8 @@ def plan_mix(rows: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, blo
     fine = materialize(fine.withColumn("wide", F.floor(F.col("block") * n / blocks).cast("int")), "mix-fine")
     per_block = fine.groupBy("source", F.col("wide").alias("block")).agg(F.sum("words").alias("words"))
     target = materialize(source_targets(per_block.groupBy("source").agg(F.sum("words").alias("source_size")), weights, max_epochs), "mix-targets")
+    if levels is None:
+        levels = tree_levels(target.agg(F.sum("source_size")).first()[0] or 0)
     t = target.select(F.col("source").alias("src"), "source_size", "target")
     t = t.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int"))
     t = t.withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("epochs") * F.col("source_size")))
@@ -161,19 +170,38 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     return plan_mix(rows, **options).select("doc_id", "source", "size", "source_size", "target", "copies")
 
 
+def copy_order(shard, epoch, doc_id):
+    """Place of a copy in its shard: the local shuffle."""
+    return F.xxhash64(F.lit("order"), shard, epoch, doc_id.cast("string"))
+
+
 def taken(plan: DataFrame) -> DataFrame:
-    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("copies")).cast("bigint").alias("taken"))
+    """Digest of a plan: ``taken`` counts the copies that the tree has put into shards;
+    ``mix_shard`` and ``mix_order`` list the shard of each copy and its place there."""
+    placed = F.filter("copies", lambda c: c.shard.isNotNull())
+    plan = plan.withColumn("copies", placed)
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("copies")).cast("bigint").alias("taken"),
+                       F.array_join(F.transform("copies", lambda c: c.shard.cast("string")), ",").alias("mix_shard"),
+                       F.array_join(F.transform("copies", lambda c: copy_order(c.shard, c.epoch, F.col("doc_id")).cast("string")), ",").alias("mix_order"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixed corpus: rows of ``docs``, each as often as the mix takes it, with
-    ``mix_shard`` and ``mix_order`` (sort by it within a shard: the local shuffle)."""
+    ``mix_shard`` and ``mix_order`` (with underscores in front where ``docs`` has such
+    columns; sort by it within a shard: the local shuffle)."""
     plan = mix_plan(docs, id_col, text_col, source_col, **options)
+    key, size, src, at, n, shard, order = free(docs, "__id", "__size", "__src", "__c", "__n", "mix_shard", "mix_order")
     # rows of one id have one hash and block; they may differ in the cut block, so match on the size too
-    place = plan.select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.col("source").alias("__src"), F.explode("copies").alias("__c"))
-    place = place.groupBy("__id", "__size", "__src", "__c").agg(F.count(F.lit(1)).alias("__n"))
-    size = word_count(text_col)
-    out = docs.join(place, F.col(id_col).eqNullSafe(F.col("__id")) & (size == F.col("__size")) & F.col(source_col).eqNullSafe(F.col("__src")))
-    return (out.withColumn("mix_shard", F.col("__c.shard"))
-            .withColumn("mix_order", F.xxhash64(F.lit("order"), F.col("mix_shard"), F.col("__c.epoch"), F.col(id_col).cast("string")))
-            .drop("__id", "__size", "__src", "__c", "__n"))
+    place = plan.select(F.col("doc_id").alias(key), F.col("size").alias(size), F.col("source").alias(src), F.explode("copies").alias(at))
+    place = place.groupBy(key, size, src, at).agg(F.count(F.lit(1)).alias(n))
+    out = docs.join(place, column(id_col).eqNullSafe(F.col(key)) & (word_count(text_col) == F.col(size)) & column(source_col).eqNullSafe(F.col(src)))
+    return (out.withColumn(shard, F.col(f"{at}.shard")).withColumn(order, copy_order(F.col(shard), F.col(f"{at}.epoch"), column(id_col)))
+            .drop(key, size, src, at, n))
+
+
+def mixed_in_order(docs: DataFrame, **options) -> DataFrame:
+    """The mixed corpus with the columns of ``docs``, its rows shard by shard in their shuffled
+    order: ranges of (shard, order), so that no task holds more than its part of a shard."""
+    out = mix(docs, **options)
+    shard, order = out.columns[-2:]
+    return out.repartitionByRange(shard, order).sortWithinPartitions(shard, order).select(*[column(c) for c in docs.columns])

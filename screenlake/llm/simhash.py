@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from screenlake.llm.batches import NOT_SPACE, lower_ascii, map_batches, pieces, words
 from screenlake.llm.components import connected_components
+from screenlake.llm.names import column, free
 from screenlake.session import materialize
 
 SHINGLE = 3
@@ -221,13 +222,14 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with the smallest hashes of text and columns stays, of equal rows one."""
     key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(F.lit(1), F.col(text_col)).alias("text"),
                    F.xxhash64(F.lit(2), *[x for c in docs.columns for x in (F.col(c).isNull(), F.col(c))]).alias("all"))
-    src = docs.withColumn("__row", key)
-    parts = materialize(simhash_components(src, "__row", text_col, k, max_bits), "simhash-parts")
+    row, keep_col, rank = free(docs, "__row", "__keep", "__rank")
+    src = docs.withColumn(row, key)
+    parts = materialize(simhash_components(src, row, text_col, k, max_bits), "simhash-parts")
     same = F.col("doc_id").eqNullSafe(F.col("component_id"))
     roots = parts.filter(same).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    keep = roots.select(F.col("doc_id").alias("__keep"))
-    kept = src.join(keep, F.col("__row").eqNullSafe(F.col("__keep")), "left_semi")
+    keep = roots.select(F.col("doc_id").alias(keep_col))
+    kept = src.join(keep, F.col(row).eqNullSafe(F.col(keep_col)), "left_semi")
     if roots.filter("n > 1").isEmpty():
-        return kept.drop("__row")
-    order = Window.partitionBy("__row").orderBy(*[F.col(c).asc_nulls_first() for c in docs.columns])
-    return kept.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1").drop("__rank", "__row")
+        return kept.drop(row)
+    order = Window.partitionBy(row).orderBy(*[column(c).asc_nulls_first() for c in docs.columns])
+    return kept.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) == 1).drop(rank, row)

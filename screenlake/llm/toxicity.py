@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from screenlake.llm.batches import map_batches, mix, pieces, prefix_hash, span_hash
 from screenlake.llm.key_filter import key_filter, may_hold
+from screenlake.llm.names import column, free
 from screenlake.session import materialize
 
 DISCOUNT = 0.8
@@ -91,10 +92,11 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
             .select((F.crc32(F.col("__id").cast("string")) % 5).alias("fold"), "text", F.col("label").cast("int").alias("label")))
 
 
-def gram_counts(rows: DataFrame) -> DataFrame:
+def gram_counts(rows: DataFrame, behind=None) -> DataFrame:
     """``(kind, ctx, key, next, c0, c1)``: documents of each class with each word and pair
     of words (``next`` is the hash of a toxic pair's second word), character 3-grams of
-    each document's distinct words, and toxic word 3-grams (``ctx`` is the last two's key)."""
+    each document's distinct words, and toxic word 3-grams (``ctx`` is the last two's key).
+    With a bit table ``behind``, pairs of ordinary rows only behind contexts in it."""
     def first_of(doc, key):
         order = np.lexsort((key, doc))
         new = np.ones(order.size, bool)
@@ -125,6 +127,8 @@ def gram_counts(rows: DataFrame) -> DataFrame:
                     code, n = char_codes(sym, starts[w[at]], ends[w[at]])
                     yield out(CHARS, y, code, weight=np.repeat(times, n))
                     b = both[label[doc[i[both]]] == y]
+                    if y == 0 and behind is not None:
+                        b = b[may_hold(behind.value, ctx[b])]
                     yield out(PAIRS, y, pair[b], ctx[b], word[i[b] + 1] if y else None)
                     if y:
                         b = np.flatnonzero((i > 0) & (doc[i - 1] == doc[i]) & (label[doc[i]] == 1))
@@ -133,6 +137,15 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     return got.groupBy("kind", "ctx", "key").agg(F.max("next").alias("next"), F.sum("n0").alias("c0"), F.sum("n1").alias("c1"))
 
 
+def learning_counts(rows: DataFrame) -> DataFrame:
+    """``gram_counts`` of all learning rows, in two scans. An expression of one toxic document
+    never enters the table, so ordinary pairs matter only behind contexts of pairs that two
+    toxic documents have; these are known after a scan of the toxic rows."""
+    toxic = gram_counts(rows.filter("label = 1")).filter((F.col("kind") == PAIRS) & (F.col("c1") > 1))
+    contexts = materialize(toxic.select("ctx").distinct(), "tox-contexts")
+    return materialize(gram_counts(rows, key_filter(contexts, "ctx")), "tox-counts")
+
+
 def spelling(rows: DataFrame, chars: DataFrame, wanted: DataFrame, discount: float = DISCOUNT) -> DataFrame:
     """``(key, spelt)``: log-probability of each wanted word of the toxic rows under the
     Kneser-Ney model of the character 3-grams ``chars (key, n)``."""
@@ -226,25 +239,26 @@ def evidence(data: np.ndarray, offs: np.ndarray, model: dict) -> np.ndarray:
     return per_word(total, n, model["base"])
 
 
-def with_evidence(src: DataFrame, model: dict, text_col: str) -> DataFrame:
-    """``src`` without its text column, with ``evidence``: the table is looked up in each
-    task, or joined where it is too large for that."""
+def with_evidence(src: DataFrame, model: dict, text_col: str, out: str = "evidence") -> DataFrame:
+    """``src`` without its text column, with ``out``, the evidence: the table is looked up in
+    each task, or joined where it is too large for that. ``out`` is a name ``src`` has not."""
     shared, base = model["shared"], model["base"]
     fields = [f for f in src.schema.fields if f.name != text_col]
-    schema = T.StructType([*fields, T.StructField("evidence", T.DoubleType())])
+    schema = T.StructType([*fields, T.StructField(out, T.DoubleType())])
+    (row_id,) = free(src, "__row")
     if shared is not None:
         def run(batches):
             for batch in batches:
                 for part, data, offs in pieces(batch, text_col):
                     yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(f.name)) for f in fields], pa.array(evidence(data, offs, shared.value))], names=schema.names)
         return map_batches(src, run, schema)
-    src = materialize(src.withColumn("__row", F.monotonically_increasing_id()), "tox-rows")
+    src = materialize(src.withColumn(row_id, F.monotonically_increasing_id()), "tox-rows")
 
     def slots(batches):
         for batch in batches:
             for part, data, offs in pieces(batch, text_col):
                 slot, doc, n = piece_slots(data, offs)
-                row = part.column(part.schema.get_field_index("__row")).to_numpy(zero_copy_only=False)
+                row = part.column(part.schema.get_field_index(row_id)).to_numpy(zero_copy_only=False)
                 order = np.lexsort((slot, doc))
                 slot, doc = slot[order], doc[order]
                 new = np.ones(slot.size, bool)
@@ -252,10 +266,10 @@ def with_evidence(src: DataFrame, model: dict, text_col: str) -> DataFrame:
                 at = np.flatnonzero(new)
                 yield pa.RecordBatch.from_arrays([pa.array(row[doc[at]]), pa.array(slot[at].view(np.int64)), pa.array(np.diff(np.append(at, slot.size)).astype(np.int64)),
                                                   pa.array(n[doc[at]].astype(np.int64))], names=["__row", "slot", "times", "n"])
-    got = map_batches(src.select("__row", text_col), slots, "__row bigint, slot bigint, times bigint, n bigint")
+    got = map_batches(src.select(row_id, column(text_col)), slots, "__row bigint, slot bigint, times bigint, n bigint")
     got = got.join(model["table"], "slot", "left").groupBy("__row").agg(F.sum(F.coalesce(F.col("value") * F.col("times"), F.lit(0))).alias("total"), F.max("n").alias("n"))
-    got = got.select("__row", ((F.col("total") + F.col("n") * base) / (F.lit(float(SCALE)) * F.greatest(F.col("n"), F.lit(SHORTEST)))).alias("evidence"))
-    return src.drop(text_col).join(got, "__row", "left").drop("__row").withColumn("evidence", F.coalesce("evidence", F.lit(0.0)))
+    got = got.select(F.col("__row").alias(row_id), ((F.col("total") + F.col("n") * base) / (F.lit(float(SCALE)) * F.greatest(F.col("n"), F.lit(SHORTEST)))).alias(out))
+    return src.drop(text_col).join(got, row_id, "left").drop(row_id).withColumn(out, F.coalesce(out, F.lit(0.0)))
 
 
 def fit_curve(ev: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:
@@ -287,7 +301,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     within ``TABLE_BYTES``, and the calibration histogram."""
     rows = labelled_texts(docs, labels, id_col, text_col, label_col)
     learn = rows.filter("fold <> 4")
-    table, base = ratio_table(learn, materialize(gram_counts(learn), "tox-counts"))
+    table, base = ratio_table(learn, learning_counts(learn))
     model = {"table": table, "base": round(base * SCALE), "shared": None}
     if table.count() * 16 <= TABLE_BYTES:
         got = table.toArrow()
@@ -303,13 +317,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return model
 
 
-def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
-    """``docs`` with a column ``toxicity`` (0 to 1). A null or empty text has no
-    evidence and gets the curve's value at 0."""
+def score(docs: DataFrame, model: dict, text_col: str = "text", out: str = "toxicity") -> DataFrame:
+    """``docs`` with a column ``out`` (0 to 1), a name it must not have yet. A null or empty
+    text has no evidence and gets the curve's value at 0; rows are scored one by one, so
+    equal texts score alike; other columns keep their names and values."""
+    if out in docs.columns:
+        raise ValueError(f"there is a column {out} already")
     a, b = model["curve"]
-    src = docs.drop("toxicity").withColumn("__text", F.col(text_col))
-    x = F.greatest(F.least(a * F.col("evidence") + b, F.lit(35.0)), F.lit(-35.0))
-    return with_evidence(src, model, "__text").withColumn("toxicity", 1 / (1 + F.exp(-x))).drop("evidence")
+    text, found = free(docs, "text_", "evidence_")
+    x = F.greatest(F.least(a * F.col(found) + b, F.lit(35.0)), F.lit(-35.0))
+    scored = with_evidence(docs.withColumn(text, column(text_col)), model, text, found)
+    return scored.withColumn(out, 1 / (1 + F.exp(-x))).drop(found)
+
+
+def drop_toxic(docs: DataFrame, model: dict, text_col: str = "text", cut: float = 0.5) -> DataFrame:
+    """Rows of ``docs`` that score below ``cut``, with their columns as they are."""
+    (out,) = free(docs, "toxicity")
+    return score(docs, model, text_col, out).filter(F.col(out) < cut).select(*[column(c) for c in docs.columns])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:

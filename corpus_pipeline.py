@@ -7,13 +7,13 @@ lost executor costs part of one stage.
 
 Rows with null or empty texts pass the first three stages unless their group of
 equal fingerprints is represented by another row; mixing takes them as documents
-without words. Empty tables pass through. Further columns are carried along.
+without words. Repeated rows leave one in the second stage; very long texts are worked on
+whole. Empty tables pass through. Further columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from screenlake.llm import decontaminate, mixing, simhash, token_pack, toxicity
 from screenlake.llm.queries import VOCAB_SIZE, table, vocab_path
@@ -23,7 +23,7 @@ from screenlake.session import materialize
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below 0.5."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).filter(F.col("toxicity") < 0.5).select(*docs.columns)
+    return toxicity.drop_toxic(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +37,8 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    return mixing.mix(docs).select(*docs.columns)
+    """Documents as often as the mix takes them, in the shuffled order of their shards."""
+    return mixing.mixed_in_order(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

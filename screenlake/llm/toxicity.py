@@ -138,14 +138,22 @@ def gram_counts(rows: DataFrame, behind=None) -> DataFrame:
 
 
 def learning_counts(rows: DataFrame) -> DataFrame:
-    """``gram_counts`` of all learning rows, in two scans. An expression of one toxic document
-    never enters the table, so ordinary pairs matter only behind contexts of pairs that two
-    toxic documents have; these are known after a scan of the toxic rows."""
-    toxic = gram_counts(rows.filter("label = 1")).filter((F.col("kind") == PAIRS) & (F.col("c1") > 1))
-    contexts = materialize(toxic.select("ctx").distinct(), "tox-contexts")
+    """``gram_counts`` of all learning rows, in two scans. A pair that only one toxic document
+    has, or only behind one word, never enters the table, so ordinary pairs matter only behind
+    contexts of other pairs; these are known after a scan of the toxic rows."""
+    toxic = materialize(gram_counts(rows.filter("label = 1")).filter(F.col("kind").isin(PAIRS, BEFORE)), "tox-pairs")
+    contexts = materialize(toxic_pairs(toxic).select("ctx").distinct(), "tox-contexts")
     return materialize(gram_counts(rows, key_filter(contexts, "ctx")), "tox-counts")
 
 
+def toxic_pairs(counts: DataFrame) -> DataFrame:
+    """Pairs of ``counts`` that may enter the table, ``c1`` no larger than the number of words
+    the pair stands behind."""
+    before = counts.filter(F.col("kind") == BEFORE).groupBy(F.col("ctx").alias("key")).agg(F.count(F.lit(1)).alias("k"))
+    pairs = counts.filter(F.col("kind") == PAIRS)
+    return pairs.join(before.filter("k > 1"), "key").withColumn("c1", F.least("c1", "k")).filter("c1 > 1")
+
+
 def spelling(rows: DataFrame, chars: DataFrame, wanted: DataFrame, discount: float = DISCOUNT) -> DataFrame:
     """``(key, spelt)``: log-probability of each wanted word of the toxic rows under the
     Kneser-Ney model of the character 3-grams ``chars (key, n)``."""
@@ -192,7 +200,6 @@ def ratio_table(rows: DataFrame, counts: DataFrame, discount: float = DISCOUNT)
     t0, t1, n0 = t["t0"] or 0, t["t1"] or 0, t["n0"]
     # continuation counts: copies of a document use an expression behind the same word
     words = words.join(pairs.filter("next is not null").groupBy(F.col("next").alias("key")).agg(F.count(F.lit(1)).alias("k")), "key").withColumn("c1", F.least("c1", "k"))
-    before = counts.filter(F.col("kind") == BEFORE).groupBy(F.col("ctx").alias("key")).agg(F.count(F.lit(1)).alias("k"))
     # one document is never more than the discount, so nothing else can be in the table
     words = materialize(words.filter("c1 > 1"), "tox-words")
     chars = counts.filter(F.col("kind") == CHARS).select("key", (F.col("c0") + F.col("c1")).alias("n"))
@@ -202,7 +209,7 @@ def ratio_table(rows: DataFrame, counts: DataFrame, discount: float = DISCOUNT)
     used = words.agg(F.sum(F.round(F.col("x") * SCALE).cast("bigint"))).head()[0] or 0
     rest = 1 - used / SCALE / max(t1, 1)
     words = words.withColumn("r", F.lit(rest) + F.col("x") / (F.lit(max(t1, 1)) * F.col("p0")))
-    some = materialize(pairs.join(before.filter("k > 1"), "key").withColumn("c1", F.least("c1", "k")).filter("c1 > 1"), "tox-pairs")
+    some = materialize(toxic_pairs(counts), "tox-pairs")
     ctx = pairs.join(some.select("ctx").distinct(), "ctx", "left_semi").groupBy("ctx").agg(*whole)
     two = some.join(ctx, "ctx").join(words.select(F.col("key").alias("next"), "p0", "r"), "next")
     two = two.withColumn("p", F.when(F.col("t0") > 0, (F.greatest(F.col("c0") - discount, F.lit(0.0)) + discount * F.col("n0") * F.col("p0")) / F.col("t0")).otherwise(F.col("p0")))

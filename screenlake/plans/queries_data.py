@@ -132,11 +132,11 @@ def q_score_stats(spark, sf):
 
 # ------------------------------------------------------------------ template / submission
 
-_TEMPLATE_SQL = f"(SELECT DISTINCT key::int AS id, 0.5::float AS binds FROM {V.UNLABELLED_SQL})"
+_TEMPLATE_SQL = f"(SELECT DISTINCT key::bigint AS id, 0.5::float AS binds FROM {V.UNLABELLED_SQL})"
 
 
 def _write_template(spark, sf) -> str:
-    t = V.unlabelled(spark, sf).select(F.col("key").cast("int").alias("id"),
+    t = V.unlabelled(spark, sf).select(F.col("key").cast("bigint").alias("id"),
                                        F.lit(0.5).cast("float").alias("binds")).distinct()
     return SF.write_csv(t, shared_dir(spark, "template"), order_by="id")
 
@@ -147,17 +147,15 @@ def q_template_roundtrip(spark, sf):
 
 
 def _unlabelled_preds(spark, sf):
-    """Model output for the unlabelled documents, with faults on purpose:
+    """Model output for all unlabelled documents; and one with faults on purpose:
     'es' documents unscored, labelled 'fr' documents scored (extra keys),
     'de' documents scored twice."""
+    def scored(rows):
+        return rows.select(F.col("key").cast("bigint").alias("id"), hash_unit("key", "p:").alias("pred"))
     u = V.unlabelled(spark, sf)
-    base = u.where(F.col("grp") != "es").select(F.col("key").cast("int").alias("id"),
-                                                hash_unit("key", "p:").alias("pred"))
-    extra = V.docs(spark, sf).where(F.col("grp") == "fr").select(
-        F.col("key").cast("int").alias("id"), hash_unit("key", "p:").alias("pred"))
-    dup = u.where(F.col("grp") == "de").select(F.col("key").cast("int").alias("id"),
-                                               hash_unit("key", "p:").alias("pred"))
-    return base, base.unionByName(extra).unionByName(dup)
+    extra = scored(V.docs(spark, sf).where(F.col("grp") == "fr"))
+    faulty = scored(u.where(F.col("grp") != "es")).unionByName(extra).unionByName(scored(u.where(F.col("grp") == "de")))
+    return scored(u), faulty
 
 
 _HU_P = "((('0x' || substr(md5('p:' || key::varchar), 1, 8))::bigint % 100)::double / 100)"
@@ -165,18 +163,18 @@ _HU_P = "((('0x' || substr(md5('p:' || key::varchar), 1, 8))::bigint % 100)::dou
 
 @register("submission_join", f"""
 SELECT t.id, {Q.clip('p.pred')}::float AS binds FROM {_TEMPLATE_SQL} t
-LEFT JOIN (SELECT key::int AS id, {_HU_P} AS pred FROM {V.UNLABELLED_SQL} WHERE grp <> 'es') p ON t.id = p.id""")
+LEFT JOIN (SELECT key::bigint AS id, {_HU_P} AS pred FROM {V.UNLABELLED_SQL}) p ON t.id = p.id""")
 def q_submission_join(spark, sf):
     template = SF.read_template(spark, _write_template(spark, sf))
     good, _ = _unlabelled_preds(spark, sf)
-    return E.create_submission(template, good, "id", "pred", strict=False)
+    return E.create_submission(template, good, "id", "pred")
 
 
 @register("template_key_check", f"""
 WITH t AS (SELECT DISTINCT id FROM {_TEMPLATE_SQL}),
-p AS (SELECT key::int AS id FROM {V.UNLABELLED_SQL} WHERE grp <> 'es'
-      UNION ALL SELECT key::int FROM {V.DOCS_SQL} WHERE grp = 'fr'
-      UNION ALL SELECT key::int FROM {V.UNLABELLED_SQL} WHERE grp = 'de'),
+p AS (SELECT key::bigint AS id FROM {V.UNLABELLED_SQL} WHERE grp <> 'es'
+      UNION ALL SELECT key::bigint FROM {V.DOCS_SQL} WHERE grp = 'fr'
+      UNION ALL SELECT key::bigint FROM {V.UNLABELLED_SQL} WHERE grp = 'de'),
 pc AS (SELECT id, count(*) AS c FROM p GROUP BY id),
 j AS (SELECT t.id AS tid, pc.id AS pid, pc.c FROM t FULL OUTER JOIN pc ON t.id = pc.id)
 SELECT sum(CASE WHEN tid IS NOT NULL THEN 1 ELSE 0 END)::bigint AS n_template,
@@ -217,7 +215,7 @@ SELECT d.doc_id::int AS doc_id, d.lang, d.n_chars::int AS n_chars
 FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
 def q_scan_unlabelled(spark, sf):
     d = SP.load_unlabelled(spark, f"{sf}/documents.parquet", ["doc_id", "lang", "n_chars"])
-    lab = spark.read.parquet(f"{sf}/labels.parquet").select(F.col("doc_id").cast("int"))
+    lab = spark.read.parquet(f"{sf}/labels.parquet").select(F.col("doc_id").cast("bigint").alias("doc_id"))
     return d.join(lab, "doc_id", "left_anti")
 
 

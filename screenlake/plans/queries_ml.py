@@ -82,9 +82,10 @@ def q_ensemble_score(spark, sf):
     models, _ = T.cross_validate(f, SMALL_TRAINER, N_FOLDS)
     u = V.unlabelled(spark, sf)
     test = T.ml_features(u, V.DOC_GROUPS).select("key", "features")
-    ens = E.ensemble_mean(T.ensemble_scores(models, test))
+    # the strict key check reads the scores too: score once
+    ens = materialize(E.ensemble_mean(T.ensemble_scores(models, test)), "ensemble")
     tmpl = write_template(spark, u)
-    return E.create_submission(tmpl, ens.select(F.col("key").cast("int").alias("id"),
+    return E.create_submission(tmpl, ens.select(F.col("key").cast("bigint").alias("id"),
                                                 F.col("ensemble").alias("pred")), "id", "pred")
 
 
@@ -120,10 +121,9 @@ def q_quick_screen(spark, sf):
     # those rows were also trained on), submission built from the test keys
     from screenlake.sources import files as SF
     d = V.docs(spark, sf).select("key", "grp", "label", "text")
-    path = SF.write_csv(d, shared_dir(spark, "quick-csv"))
+    path = SF.write_csv(d, shared_dir(spark, "quick-csv"), one_line=True)
     schema = "key BIGINT, grp STRING, label TINYINT, text STRING"
-    train = spark.read.schema(schema).option("header", True).option("multiLine", True) \
-        .option("escape", '"').csv(path)
-    test = SF.read_small_csv(spark, path, schema, first_n=50, order_by="key").drop("label")
+    train = SF.read_small_csv(spark, path, schema, one_line=True)
+    test = SF.read_small_csv(spark, path, schema, first_n=50, order_by="key", one_line=True).drop("label")
     cfg = ScreenConfig(n_folds=2, trainer=SMALL_TRAINER, sample=False)
     return run_screen(train, test, cfg)["submission"]

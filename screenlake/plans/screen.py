@@ -85,7 +85,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_template(spark: SparkSession, unlabelled: DataFrame) -> DataFrame:
-    t = unlabelled.select(F.col("key").cast("int").alias("id"),
+    t = unlabelled.select(F.col("key").cast("bigint").alias("id"),
                           F.lit(0.5).cast("float").alias("binds")).distinct()
     return SF.read_template(spark, SF.write_csv(t, shared_dir(spark, "template"), "id"))
 

@@ -120,7 +120,9 @@ def test_discovery(spark):
     files = SF.list_files(spark, SF0001, "*.parquet")
     assert files.count() == 14
     assert SF.find_input(spark, SF0001, "orders").endswith("orders.parquet")
+    assert SF.find_input(spark, SF0001, "Orders").endswith("orders.parquet")     # names, without case
     assert SF.find_input(spark, SF0001, "nope", "dflt") == "dflt"
+    assert SF.find_input(spark, SF0001, "testdata") is None                      # a folder's name is none
 
 
 def test_grams_are_code_point_substrings(spark):
@@ -143,6 +145,17 @@ def test_csv_roundtrip_keeps_whole_texts(spark):
     assert back.exceptAll(d).count() == 0 and d.exceptAll(back).count() == 0
 
 
+def test_csv_of_one_line_records(spark):
+    rows = [(1, 'a\nb "q", %0A %25 % \r\n'), (2, ""), (3, "%"), (1 << 40, "plain\n")]
+    df = spark.createDataFrame(rows, "key long, text string")
+    path = SF.write_csv(df, shared_dir(spark, "t-csv-lines"), one_line=True)
+    assert spark.read.text(path).where("value <> 'key,text'").count() == 4
+    got = SF.read_small_csv(spark, path, "key BIGINT, text STRING", one_line=True)
+    assert sorted((r.key, r.text or "") for r in got.collect()) == rows
+    t = SF.write_csv(spark.createDataFrame([(1 << 40, 0.5)], "id long, binds float"), shared_dir(spark, "t-wide"))
+    assert SF.read_template(spark, t).first().id == 1 << 40
+
+
 def test_checked_broadcast_both_branches(spark):
     from screenlake.session import checked_broadcast, materialize
     big = spark.range(0, 5000).withColumn("g", F.col("id") % 7)

@@ -113,6 +113,56 @@ def pattern_keys(df: DataFrame, key: str = "key", text: str = "text",
     return df.select(key, F.explode(on.cast("array<int>")).alias("key_id"))
 
 
+def needed_literal(rx: str) -> str:
+    """The longest plain text that every match of a regex must contain, as far as a simple
+    reading tells: escapes count as their character; classes, groups, alternatives and
+    what a quantifier may leave out end a run. Empty if nothing is sure."""
+    import re
+    if "|" in re.sub(r"\\.", "", rx) or "(?" in rx:
+        return ""
+    atom = r"(\\.|\[\^?\]?(?:\\.|[^\]\\])*\]|.)(?:([?*+]|\{[^}]*\})[?+]?)?"
+    runs, now, depth = [], "", 0
+    for x, many in re.findall(atom, rx, re.S):
+        depth += (x == "(") - (x == ")")
+        escaped = len(x) == 2 and x[0] == "\\" and not x[1].isalnum()
+        plain = x[1] if escaped else x if len(x) == 1 and x not in "().^$" else ""
+        if not plain or depth or many not in ("", "+"):
+            runs.append(now)
+            now = ""
+            continue
+        now += plain
+        if many:                                 # once at least; what follows need not touch it
+            runs.append(now)
+            now = ""
+    return max([*runs, now], key=len)
+
+
+def pattern_keys_from_table(df: DataFrame, patterns: DataFrame, key: str = "key", text: str = "text",
+                            q: int = 3) -> DataFrame:
+    """FP2 for a table ``(key_id int, regex string, min_count int)`` of any number of keys:
+    ``(key, key_id)`` where a text has ``min_count`` matches or more.
+
+    The needed literal of a pattern is cut to its first ``q`` characters; a text can match
+    only if it holds them. The texts' distinct substrings of that length are joined with
+    this index, and a regex runs only on the candidates it names, once per distinct text;
+    patterns without such a literal run on all texts. The patterns are a user's list, so the
+    driver reads them."""
+    spark = df.sparkSession
+    rows = [(r.key_id, r.regex, r.min_count, (needed_literal(r.regex) + "\0" * q)[:q].rstrip("\0")) for r in patterns.collect()]
+    schema = "key_id int, __rx string, __least int, __need string"
+    indexed = F.broadcast(spark.createDataFrame([r for r in rows if len(r[3]) == q], schema))
+    loose = [r for r in rows if len(r[3]) < q]
+    dist = df.select(F.col(text).alias("__text")).where(F.col("__text").isNotNull()).distinct().withColumn("__pid", F.md5("__text"))
+    held = F.array_distinct(F.regexp_extract_all("__text", F.lit(f"(?s)(?=(.{{{q}}}))."), 1))
+    named = dist.withColumn("__need", F.explode(held)).join(indexed, "__need").drop("__need")
+    hit = named.where(F.expr("regexp_count(__text, __rx) >= __least")).select("__pid", "key_id")
+    if loose:
+        found = F.array(*[F.when(_cnt(F.col("__text"), rx) >= F.lit(least), F.lit(i)) for i, rx, least, _ in loose])
+        hit = hit.union(dist.select("__pid", F.explode(F.filter(found, lambda x: x.isNotNull()).cast("array<int>")).alias("key_id")))
+    owners = df.select(key, F.md5(F.col(text)).alias("__pid"))
+    return salted_join(owners, hit, "__pid").select(key, "key_id")
+
+
 def _literal(rx: str) -> str | None:
     """The plain text a regex matches when it has no metacharacters (escapes
     like ``\\(`` allowed), else None."""

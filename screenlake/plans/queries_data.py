@@ -292,6 +292,21 @@ def q_pattern_keys(spark, sf):
     return X.pattern_keys(V.texts(spark, sf))
 
 
+# A table of 192 keys: digit pairs and words with an ending, each with its own minimum.
+_KEY_TABLE = ([(i, f"{i:02d}", 1 + i % 3) for i in range(100)]
+              + [(100 + 4 * i + j, f"{a}{e}", 1 + (i + j) % 4) for i, a in enumerate("abcdefghijklmnopqrstuvw") for j, e in enumerate(("er", "en[a-z]", "i?on", "re+s"))])
+
+
+@register("pattern_keys_table", f"""
+WITH k(key_id, regex, min_count) AS (VALUES {', '.join(f"({i}, '{r}', {m})" for i, r, m in _KEY_TABLE)}),
+t AS (SELECT DISTINCT text FROM {V.TEXTS_SQL} WHERE text IS NOT NULL),
+h AS (SELECT text, key_id FROM t, k WHERE len(regexp_extract_all(text, regex)) >= min_count)
+SELECT d.key, h.key_id::int AS key_id FROM {V.TEXTS_SQL} d JOIN h ON d.text = h.text""")
+def q_pattern_keys_table(spark, sf):
+    table = spark.createDataFrame(_KEY_TABLE, "key_id int, regex string, min_count int")
+    return X.pattern_keys_from_table(V.texts(spark, sf), table)
+
+
 @register("text_descriptors", f"SELECT key, {Q.descriptors('text')} FROM {V.TEXTS_SQL}")
 def q_text_descriptors(spark, sf):
     return X.text_descriptors(V.texts(spark, sf))

@@ -35,6 +35,35 @@ class ScreenConfig:
     seed: int = 42
     trainer: T.TrainerConfig = field(default_factory=T.TrainerConfig)
     sample: bool = True
+    loader: str = "stratified"          # or "chunked": W2 -> W3 -> W4 -> W6 in key order
+    max_total: int = S.MAX_TOTAL_SAMPLES
+    chunk_size: int = S.DATA_CHUNK_SIZE
+    fingerprint: str = "morgan"         # or "maccs", "both"
+    descriptors: bool = True
+    encoding: str = "onehot"            # or "label"
+    n_trials: int = 0                   # of the parameter search on the first fold; 0: none
+    trial_rounds: int = 100
+    search_budget: float | None = None  # seconds
+    model_dir: str | None = None        # models are saved there, one a fold, and scored from the files
+    run_name: str = "run"
+    parallelism: int = 1
+
+
+def load_sample(labelled: DataFrame, cfg: ScreenConfig) -> DataFrame:
+    """The training rows by the loader the run names. The chunked one works on the narrow
+    columns; the texts of the rows it keeps are joined afterwards."""
+    if not cfg.sample:
+        return labelled
+    if cfg.loader == "stratified":
+        return S.stratified_sample(labelled, "grp", "label", "key", cfg.negative_ratio,
+                                   cfg.max_positive, cfg.seed, cfg.groups).drop("rn")
+    if cfg.loader != "chunked":
+        raise ValueError(f"unsupported loader: {cfg.loader}")
+    cap = cfg.max_positive if cfg.max_positive is not None else S.MAX_POSITIVE_SAMPLES
+    kept = S.chunked_sample(labelled.select("key", "grp", "label"), negative_ratio=cfg.negative_ratio,
+                            max_positive_per_group=cap, max_total=cfg.max_total, chunk_size=cfg.chunk_size,
+                            seed=cfg.seed, groups=cfg.groups)
+    return labelled.join(kept.select("key"), "key", "left_semi")
 
 
 def run_screen(labelled: DataFrame, unlabelled: DataFrame, cfg: ScreenConfig,
@@ -42,22 +71,28 @@ def run_screen(labelled: DataFrame, unlabelled: DataFrame, cfg: ScreenConfig,
     """Labelled rows need (key, grp, label, text); unlabelled rows (key, grp, text).
     Returns DataFrames: oof, fold_metrics, cv_summary, oof_auc, ensemble, submission."""
     spark = labelled.sparkSession
-    data = labelled
-    if cfg.sample:
-        data = S.stratified_sample(labelled, "grp", "label", "key", cfg.negative_ratio,
-                                   cfg.max_positive, cfg.seed, cfg.groups).drop("rn")
-    data = FO.stratified_folds(data, "grp", "label", "key", cfg.n_folds, cfg.seed)
-    feats = materialize(T.ml_features(data, cfg.groups, nbits=cfg.nbits)
+    def features(rows):
+        return T.ml_features(rows, cfg.groups, nbits=cfg.nbits, fingerprint=cfg.fingerprint,
+                             descriptors=cfg.descriptors, encoding=cfg.encoding)
+    data = FO.stratified_folds(load_sample(labelled, cfg), "grp", "label", "key", cfg.n_folds, cfg.seed)
+    feats = materialize(features(data)
                         .select("key", "grp", "label", "fold", "features"), "train-features",
                         sort_within=["key"])
-    models, preds = T.cross_validate(feats, cfg.trainer, cfg.n_folds)
+    trainer, trials = cfg.trainer, None
+    if cfg.n_trials:
+        train, valid = FO.split_fold(feats, 0)
+        trials = T.param_search(train, valid, trainer, cfg.n_trials, cfg.trial_rounds, parallelism=cfg.parallelism,
+                                results=f"{cfg.model_dir}/{cfg.run_name}-trials" if cfg.model_dir else None, budget=cfg.search_budget)
+        trainer = T.with_best(trainer, trials)
+    models, preds = T.cross_validate(feats, trainer, cfg.n_folds, parallelism=cfg.parallelism)
+    if cfg.model_dir:
+        models = [T.load_model(T.save_model(m, f"{cfg.model_dir}/{cfg.run_name}-fold{k}")) for k, m in enumerate(models)]
     # k model scorings feed several metrics: score once, keep the file
     oof = materialize(E.attach_oof(feats.select("key", "grp", "label", "fold"),
                                    preds.select("key", "pred")), "oof")
     per_fold = M.group_auc(oof, ["fold", "grp"], "label", "oof_pred")
     fold_metrics = M.metrics_long(per_fold, "grp", "auc", by="fold")
-    test = materialize(T.ml_features(unlabelled, cfg.groups, nbits=cfg.nbits)
-                       .select("key", "features"), "test-features")
+    test = materialize(features(unlabelled).select("key", "features"), "test-features")
     ens = materialize(E.ensemble_mean(T.ensemble_scores(models, test)), "ensemble")
     if template is None:     # keys keep their own type (no narrowing cast that could overflow)
         template = unlabelled.select(F.col("key").alias("id")).distinct()
@@ -65,7 +100,7 @@ def run_screen(labelled: DataFrame, unlabelled: DataFrame, cfg: ScreenConfig,
                                                    F.col("ensemble").alias("pred")), "id", "pred")
     return {"oof": oof, "fold_metrics": fold_metrics, "cv_summary": M.cv_summary(fold_metrics),
             "oof_auc": E.oof_group_auc(oof, groups=cfg.groups), "ensemble": ens,
-            "submission": sub, "models": models}
+            "submission": sub, "models": models, "trials": trials, "trainer": trainer}
 
 
 SMALL_TRAINER = T.TrainerConfig(overrides={"maxIter": 8, "maxDepth": 4, "minInstancesPerNode": 2,

@@ -111,6 +111,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 # points, so different slices of one length agree with a chance of length / 2**61. (Modulo
 # 2**64 some strings agree at every point.)
 P61 = np.uint64((1 << 61) - 1)
+HASH_BLOCK = 1 << 15
 POINTS = (170528681114438561, 1957470946349857656)
 
 
@@ -154,25 +155,30 @@ def powers(n: int, point: int = 0) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_hash(values: np.ndarray, point: int = 0) -> np.ndarray:
-    """Prefix sums of (value + 1) * x**i; ``span_hash`` turns them into hashes of any slice."""
-    p, _ = powers(values.size + 1, point)
-    p, v = p[:-1], values.astype(np.uint64)
+    """Prefix sums of (value + 1) * x**i; ``span_hash`` turns them into hashes of any slice.
+    Worked on block by block, so that no temporary is larger than a block."""
+    p, _ = powers(values.size, point)
     out = np.zeros(values.size + 1, np.uint64)
-    if values.dtype.itemsize == 1 and values.size < 1 << 22:       # sums of the two halves stay below 2**64
-        v += np.uint64(1)
-        low, high = np.cumsum(v * (p & np.uint64(0xFFFFFFFF))), np.cumsum(v * (p >> np.uint64(32)))
-        out[1:] = mod61(mod61(low) + _shifted(mod61(high), 32))
-        return out
-    t = mul61(mod61(v) + np.uint64(1), p)
-    low, high = np.cumsum(t & np.uint64(0x3FFFFFFF)), np.cumsum(t >> np.uint64(30))
-    out[1:] = mod61(mod61(low) + _shifted(mod61(high), 30))
+    for lo in range(0, values.size, HASH_BLOCK):
+        v, x = values[lo:lo + HASH_BLOCK].astype(np.uint64), p[lo:lo + HASH_BLOCK]
+        if values.dtype.itemsize == 1:          # sums of the products with either half stay below 2**64
+            v += np.uint64(1)
+            low, high, half = np.cumsum(v * (x & np.uint64(0xFFFFFFFF))), np.cumsum(v * (x >> np.uint64(32))), 32
+        else:
+            t = mul61(mod61(v) + np.uint64(1), x)
+            low, high, half = np.cumsum(t & np.uint64(0x3FFFFFFF)), np.cumsum(t >> np.uint64(30)), 30
+        out[lo + 1:lo + 1 + v.size] = mod61(mod61(mod61(low) + _shifted(mod61(high), half)) + out[lo])
     return out
 
 
 def span_value(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, point: int = 0) -> np.ndarray:
     """The polynomial of each slice [start, end), wherever it lies."""
     _, q = powers(prefix.size, point)
-    return mul61(sub61(prefix[ends], prefix[starts]), q[starts])
+    out = np.empty(starts.size, np.uint64)
+    for lo in range(0, starts.size, HASH_BLOCK):
+        at = slice(lo, lo + HASH_BLOCK)
+        out[at] = mul61(sub61(prefix[ends[at]], prefix[starts[at]]), q[starts[at]])
+    return out
 
 
 def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, point: int = 0) -> np.ndarray:

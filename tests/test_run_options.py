@@ -50,7 +50,7 @@ def test_search_continues_and_keeps_its_budget(spark, monkeypatch):
     where = shared_dir(spark, "t-trials") + "/trials"
     first = T.param_search(df, df, T.TrainerConfig(), 2, 5, results=where).collect()
     assert len(calls) == 2 and len(first) == 2
-    again = T.param_search(df, df, T.TrainerConfig(), 4, 5, results=where).collect()
+    again = T.param_search(df, df, T.TrainerConfig(), 4, 5, results=where, parallelism=2).collect()
     assert len(calls) == 4 and {r.trial for r in again} == {0, 1, 2, 3}
     assert len(T.param_search(df, df, T.TrainerConfig(), 3, 5, budget=0.0).collect()) == 1
     best = T.with_best(T.TrainerConfig(overrides={"maxIter": 7}), spark.createDataFrame(again))

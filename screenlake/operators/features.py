@@ -18,9 +18,12 @@ same string shared by many rows is processed once.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,13 +96,82 @@ def with_gram_bits(df: DataFrame, text: str, nbits: int = DEFAULT_NBITS, q: int
     return x.withColumn(out, F.transform("__grams", lambda g: hash_bucket(g, nbits))).drop("__grams")
 
 
+# Code points a task turns into grams at once.
+PIECE_POINTS = 1 << 20
+
+
+def gram_ids(points: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ``q``-grams of an array of code points, as the position of one
+    occurrence each, and for every position its gram's number."""
+    n = points.size - q + 1
+    alphabet, code = np.unique(points, return_inverse=True)
+    width = max(1, int(alphabet.size - 1).bit_length())
+    code = code.astype(np.uint64)
+    ids, used = code[:n].copy(), width
+    for i in range(1, q):
+        if used + width > 64:                   # too wide: number what is there and go on
+            ids = np.unique(ids, return_inverse=True)[1].astype(np.uint64)
+            used = max(1, n.bit_length())
+        ids = (ids << np.uint64(width)) | code[i:i + n]
+        used += width
+    return np.unique(ids, return_index=True, return_inverse=True)[1:]
+
+
+def piece_bits(texts: list[str], nbits: int, q: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(text number, bit, count)`` over all ``q``-grams of the texts, digits as '0';
+    every distinct gram is hashed once."""
+    size = np.array([len(t) for t in texts])
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    points = np.where((points >= 49) & (points <= 57), np.uint32(48), points)
+    if points.size < q:
+        return (np.zeros(0, np.int64),) * 3
+    at, gram = gram_ids(points, q)
+    blob = points.tobytes()
+    digests = (hashlib.md5(blob[4 * i:4 * (i + q)].decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")).digest()
+               for i in at.tolist())
+    bit = np.array([int.from_bytes(d[:4], "big") % nbits for d in digests], np.int64)
+    doc = np.repeat(np.arange(size.size), size)
+    inside = doc[:gram.size] == doc[q - 1:]     # a gram across two texts is none
+    where, cnt = np.unique(doc[:gram.size][inside] * nbits + bit[gram[inside]], return_counts=True)
+    return where // nbits, where % nbits, cnt
+
+
+def text_pieces(texts, q: int, limit: int = PIECE_POINTS):
+    """Lists of ``(row, text)`` of at most ``limit`` code points; a longer text is cut so
+    that each of its grams lies in one part."""
+    piece, held = [], 0
+    for row, t in enumerate(texts):
+        for start in range(0, max(len(t) - q + 1, 1), limit):
+            part = t[start:start + limit + q - 1]
+            if piece and held + len(part) > limit:
+                yield piece
+                piece, held = [], 0
+            piece.append((row, part))
+            held += len(part)
+    if piece:
+        yield piece
+
+
 def hashed_fingerprint(df: DataFrame, key: str = "key", text: str = "text",
                        nbits: int = DEFAULT_NBITS, q: int = GRAM) -> DataFrame:
-    """FP1 long form ``(key, bit, cnt)``. The explode is followed by a partial
-    aggregate, so at most ``nbits`` rows per key and task are shuffled."""
-    g = df.select(key, F.explode(grams(text, q)).alias("__g"))
-    return (g.groupBy(key, hash_bucket("__g", nbits).alias("bit"))
-            .agg(F.count(F.lit(1)).cast("bigint").alias("cnt")))
+    """FP1 long form ``(key, bit, cnt)``. Grams of whole texts are numbered and counted in
+    Arrow batches, in pieces of bounded size, and each distinct gram of a piece is hashed once; at most ``nbits``
+    rows per text are shuffled. Null and texts shorter than ``q`` have no row; rows of one key add up."""
+    _ship_by_value()
+
+    def run(batches):
+        for batch in batches:
+            rows = np.flatnonzero(batch.column(1).is_valid().to_numpy(zero_copy_only=False))
+            texts = (batch.column(1)[i].as_py() for i in rows.tolist())
+            for piece in text_pieces(texts, q):
+                who, bit, cnt = piece_bits([t for _, t in piece], nbits, q)
+                row = rows[np.array([r for r, _ in piece])[who]]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(bit.astype(np.int32)), pa.array(cnt.astype(np.int64))],
+                                                 names=["__k", "bit", "cnt"])
+    kind = df.select(key).schema[0].dataType
+    fields = [T.StructField("__k", kind), T.StructField("bit", T.IntegerType()), T.StructField("cnt", T.LongType())]
+    counts = df.select(F.col(key).alias("__k"), F.col(text).alias("__t")).mapInArrow(run, T.StructType(fields))
+    return counts.groupBy(F.col("__k").alias(key), "bit").agg(F.sum("cnt").alias("cnt"))
 
 
 def pattern_keys(df: DataFrame, key: str = "key", text: str = "text",

@@ -37,7 +37,7 @@ def test_template_tiny_and_strict_submission(spark):
     tmpl = spark.createDataFrame([(1, 0.5), (2, 0.5), (3, 0.5)], "id int, binds float")
     path = SF.write_csv(tmpl, shared_dir(spark, "tt"), "id")
     t = SF.read_template(spark, path)
-    assert t.schema.simpleString() == "struct<id:int,binds:float>" and t.count() == 3
+    assert t.schema.simpleString() == "struct<id:bigint,binds:float>" and t.count() == 3
     bad = spark.createDataFrame([(1, 0.2), (1, 0.3), (4, 0.9)], "id int, pred double")
     c = E.template_key_check(t, bad, "id").first()
     assert (c.n_missing, c.n_extra, c.n_duplicate, c.n_template) == (2, 1, 1, 3)

@@ -22,7 +22,8 @@ FULL_TRAINER = T.TrainerConfig()
 
 
 def _features(spark, sf):
-    d = FO.stratified_folds(V.docs(spark, sf), n_folds=N_FOLDS)
+    # the features read these rows several times: rank them once
+    d = materialize(FO.stratified_folds(V.docs(spark, sf), n_folds=N_FOLDS), "docs-folds")
     f = T.ml_features(d, V.DOC_GROUPS).select("key", "grp", "label", "fold", "features")
     return materialize(f, "docs-features", sort_within=["key"])
 
@@ -81,7 +82,7 @@ def q_cv_fold_metrics(spark, sf):
 @register("ensemble_score")
 def q_ensemble_score(spark, sf):
     f = _features(spark, sf)
-    models, _ = T.cross_validate(f, SMALL_TRAINER, N_FOLDS)
+    models, _ = T.cross_validate(f, SMALL_TRAINER, N_FOLDS, parallelism=N_FOLDS)
     u = V.unlabelled(spark, sf)
     test = T.ml_features(u, V.DOC_GROUPS).select("key", "features")
     # the strict key check reads the scores too: score once

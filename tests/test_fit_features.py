@@ -43,3 +43,49 @@ def test_grams_are_hashed_once_a_task(monkeypatch):
     again = X.piece_bits(["abcdef", "abcd"], 64, 4, known)
     assert len(asked) == len(set(asked)) > 0
     assert [x.tolist() for x in first] == [x.tolist() for x in again]
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    df = spark.range(400).select(F.col("id").alias("key"), (F.col("id") % 3 == 0).cast("int").alias("label"),
+                                 F.concat(F.lit("C" * 3), F.md5(F.col("id").cast("string"))).alias("text"), F.lit("en").alias("grp"))
+    return T.ml_features(df, ["en"], nbits=16).select("key", "label", "features").coalesce(1).sortWithinPartitions("key").cache()
+
+
+def test_first_rounds_equal_a_fit_of_so_many(rows, tmp_path):
+    cfg = T.TrainerConfig(overrides={"maxIter": 6, "maxDepth": 3, "minInstancesPerNode": 2})
+    cut = T.first_rounds(T.fit(rows, cfg), 4)
+    again = T.make_gbt(cfg, 4).fit(T.with_weight(rows.select("features", "label"), cfg))
+    trees = [m.toDebugString.split("\n", 1)[1] for m in (cut, again, T.load_model(T.save_model(cut, str(tmp_path / "m"))))]
+    assert trees[0] == trees[1] == trees[2]
+    assert (cut.getMaxIter(), cut.getNumTrees, cut.numFeatures, cut.numClasses) == (4, 4, again.numFeatures, 2)
+    score = [[r.pred for r in T.predict_proba(m, rows).orderBy("key").collect()] for m in (cut, again)]
+    assert score[0] == score[1]
+
+
+@pytest.mark.parametrize("at,asked,rounds", [(4, [4, 40], 25), (3, [4, 8], 6), (1, [4], 1)])
+def test_a_fit_does_not_grow_its_trees_again(rows, monkeypatch, at, asked, rounds):
+    """Losses with their least at round ``at`` of the first fit, at ``rounds`` of the last."""
+    fits = []
+
+    class Model:
+        def __init__(self, n):
+            self.n = n
+
+        def evaluateEachIteration(self, held):
+            least = at if len(fits) == 1 else rounds
+            return [abs(i + 1 - least) + 1.0 for i in range(self.n)]
+
+    class Gbt:
+        def __init__(self, n):
+            self.n = n
+
+        def fit(self, data):
+            fits.append(self.n)
+            return Model(self.n)
+    monkeypatch.setattr(T, "make_gbt", lambda cfg, n: Gbt(n))
+    monkeypatch.setattr(T, "first_rounds", lambda m, n: ("cut", n))
+    cfg = T.TrainerConfig(overrides={"maxIter": 40})
+    got = T.fit(rows, cfg, rows, patience=2)
+    assert fits == asked
+    assert got == ("cut", rounds)

@@ -54,7 +54,7 @@ def rows(spark):
 
 def test_first_rounds_equal_a_fit_of_so_many(rows, tmp_path):
     cfg = T.TrainerConfig(overrides={"maxIter": 6, "maxDepth": 3, "minInstancesPerNode": 2})
-    cut = T.first_rounds(T.fit(rows, cfg), 4)
+    cut, = T._run_parallel(lambda m: T.first_rounds(m, 4), [T.fit(rows, cfg)], 2)      # as the folds run
     again = T.make_gbt(cfg, 4).fit(T.with_weight(rows.select("features", "label"), cfg))
     trees = [m.toDebugString.split("\n", 1)[1] for m in (cut, again, T.load_model(T.save_model(cut, str(tmp_path / "m"))))]
     assert trees[0] == trees[1] == trees[2]

@@ -27,6 +27,7 @@ import zlib
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -104,13 +105,20 @@ class RunEncoder:
         if starts.size == 0:
             return np.zeros(0, np.uint32), np.zeros(n_docs, np.int64)
         h = span_hash(prefix_hash(data), starts, ends)
-        u, first, inv = np.unique(h, return_index=True, return_inverse=True)
+        inv, u = pd.factorize(h)                                # by hash table; only the different ones are sorted
+        order = np.argsort(u)
+        place = np.empty(u.size, np.int64)
+        place[order] = np.arange(u.size)
+        u, inv, first = u[order], place[inv], np.empty(u.size, np.int64)
+        first[inv] = np.arange(h.size)
         raw, lens = data.tobytes(), ends - starts
         rep = first[inv]
         same = np.array_equal(lens, lens[rep])
         if same:
-            inside = np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens)
-            same = np.array_equal(data[np.repeat(starts, lens) + inside], data[np.repeat(starts[rep], lens) + inside])
+            again = np.flatnonzero(rep != np.arange(rep.size))      # each with the run that stands for it
+            size = lens[again]
+            place = np.repeat(starts[again] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+            same = np.array_equal(data[place], data[place + np.repeat(starts[rep[again]] - starts[again], size)])
         check = span_hash(prefix_hash(data, 1), starts[first], ends[first], 1)
         known = np.minimum(np.searchsorted(self.key, u), max(self.key.size - 1, 0))
         hit = self.key[known] == u if self.key.size else np.zeros(u.size, bool)

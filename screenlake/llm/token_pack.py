@@ -12,9 +12,9 @@ payload), payload = ids, little-endian bit order, padded to whole bytes.
 
 Encoding: this tokenizer drops white space before it splits words, so runs
 between ASCII white space are encoded independently of each other. Each
-worker encodes different runs with the library and keeps them in a table, which holds at
-most ``KEPT_RUNS`` runs (about 50 MB), drops those not met again when it is full, and
-outlives a task; documents are put together with numpy. Runs are found
+worker encodes different runs with the library, ``ENCODE_TEXTS`` at a time, and keeps them in
+a table, which holds at most ``KEPT_RUNS`` runs (about 25 MB), drops those not met again when it
+is full, and outlives a task; documents are put together with numpy. Runs are found
 by hash and compared byte for byte with each other in a piece, and by a second hash at
 another point (122 bits together) with the table; if two differ under one hash, the library
 encodes those texts whole.
@@ -39,8 +39,8 @@ from screenlake.session import shared_dir
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
-KEPT_RUNS = 1 << 20
-ENCODE_PIECE = 1 << 21
+KEPT_RUNS = 1 << 19
+ENCODE_TEXTS = 1 << 12     # the library holds about 1 kB for a text that it has encoded
 
 
 def id_width(vocab_size: int) -> int:
@@ -94,9 +94,12 @@ class RunEncoder:
         self.used = np.zeros(kept.size, bool)
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        out = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-        n = np.fromiter(map(len, out), np.int64, len(out))
-        return np.fromiter(chain.from_iterable(out), np.uint32, int(n.sum())), n
+        ids, n = [], []
+        for lo in range(0, len(texts), ENCODE_TEXTS):
+            out = [e.ids for e in self.tok.encode_batch_fast(texts[lo:lo + ENCODE_TEXTS], add_special_tokens=False)]
+            n.append(np.fromiter(map(len, out), np.int64, len(out)))
+            ids.append(np.fromiter(chain.from_iterable(out), np.uint32, int(n[-1].sum())))
+        return np.concatenate(ids), np.concatenate(n)
 
     def piece(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """ids of all documents of a piece, and how many each has."""
@@ -138,12 +141,10 @@ class RunEncoder:
             ids, n = self._encode([raw[a:b].decode() for a, b in zip(starts[f].tolist(), ends[f].tolist())])
             at = self.ids.size + np.cumsum(n) - n
             self.ids = np.concatenate([self.ids, ids])
-            key = np.concatenate([self.key, u[new]])
-            order = np.argsort(key, kind="stable")
-            self.key = key[order]
-            self.check = np.concatenate([self.check, check[new]])[order]
-            self.at, self.len = np.concatenate([self.at, at])[order], np.concatenate([self.len, n.astype(np.int32)])[order]
-            self.used = np.concatenate([self.used, np.zeros(new.size, bool)])[order]
+            to = np.searchsorted(self.key, u[new])              # one array of the table at a time is copied
+            self.key, self.check = np.insert(self.key, to, u[new]), np.insert(self.check, to, check[new])
+            self.at, self.len = np.insert(self.at, to, at), np.insert(self.len, to, n)
+            self.used = np.insert(self.used, to, False)
             known = np.searchsorted(self.key, u)
         self.used[known[hit]] = True
         run = known[inv]
@@ -193,7 +194,7 @@ def encode_blocks(docs: DataFrame, tokenizer: str, vocab_size: int, id_col: str
                 pa.array([np.concatenate(ends)], pa.list_(pa.int64())), pa.array([pack(flat, width)], pa.binary())],
                 names=schema.names)
         for batch in batches:
-            for rows, data, offs in pieces(batch, limit=ENCODE_PIECE):
+            for rows, data, offs in pieces(batch):
                 flat, n = enc.piece(data, offs)
                 stop = np.cumsum(n)
                 flat = np.insert(flat, stop, end_id)                       # the end id after each document

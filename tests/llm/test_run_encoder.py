@@ -1,7 +1,12 @@
 """Runs of a piece are told apart by a hash table, and each is put together as the library encodes it."""
+import tracemalloc
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from screenlake.llm import batches as B
 from screenlake.llm import token_pack as TP
 
 
@@ -18,3 +23,31 @@ def test_repeated_runs_without_a_sort_of_all(monkeypatch):
         ids, n = enc.piece(data, offs)
         assert n.tolist() == [len(x) for x in want]
         assert ids.tolist() == [i for x in want for i in x]
+
+
+def test_memory_of_many_different_runs(spark, monkeypatch):
+    """A worker shares its executor's memory: few texts in the library at once, few temporaries beside the table."""
+    made = []
+
+    class Library:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            made.append(len(texts))
+            return [SimpleNamespace(ids=[len(t), *t.encode()[-3:]]) for t in texts]
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 400000, 300)) for _ in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(texts)], names=["doc_id", "text"])
+    monkeypatch.setattr(TP, "encoder", lambda path, enc=TP.RunEncoder(Library()): enc)
+    monkeypatch.setattr(TP, "map_batches", lambda df, run, schema: run)
+    monkeypatch.setattr(TP, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    run = TP.encode_blocks(spark.createDataFrame([], "doc_id bigint, text string"), "", 49408)
+    for point in (0, 1):
+        B.powers(1 << 22, point)                        # kept by the worker, not counted below
+    tracemalloc.start()
+    try:
+        got = [np.frombuffer(b.column(7)[0].as_py(), "<u2") for b in run([batch])]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.concatenate(got).tolist() == [i for t in texts for i in [*(x for w in t.split() for x in (len(w), *w.encode()[-3:])), TP.END_ID]]
+    assert max(made) <= 1 << 12
+    assert peak < 60e6, f"{peak / 1e6:.0f} MB"

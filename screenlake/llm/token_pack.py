@@ -12,7 +12,8 @@ payload), payload = ids, little-endian bit order, padded to whole bytes.
 
 Encoding: this tokenizer drops white space before it splits words, so runs
 between ASCII white space are encoded independently of each other. Each
-worker encodes different runs with the library, ``ENCODE_TEXTS`` at a time, and keeps them in
+worker encodes different runs with the library, ``ENCODE_TEXTS`` at a time as one text, in which
+the id of ``MARK`` ends each run (one by one where their ids hold that id too), and keeps them in
 a table, which holds at most ``KEPT_RUNS`` runs (about 25 MB), drops those not met again when it
 is full, and outlives a task; documents are put together with numpy. Runs are found
 by hash and compared byte for byte with each other in a piece, and by a second hash at
@@ -40,7 +41,8 @@ from screenlake.session import shared_dir
 END_ID = 2
 BLOCK_IDS = 1 << 16
 KEPT_RUNS = 1 << 19
-ENCODE_TEXTS = 1 << 12     # the library holds about 1 kB for a text that it has encoded
+ENCODE_TEXTS = 1 << 8      # the library holds about 1 kB for a text that it has encoded
+MARK = b"\x01"
 
 
 def id_width(vocab_size: int) -> int:
@@ -75,6 +77,7 @@ class RunEncoder:
 
     def __init__(self, tokenizer):
         self.tok = tokenizer
+        self.mark = self._ids([MARK])[0]
         self.clear()
 
     def clear(self):
@@ -93,10 +96,22 @@ class RunEncoder:
         self.key, self.check, self.at, self.len = self.key[kept], self.check[kept], at, n
         self.used = np.zeros(kept.size, bool)
 
-    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _ids(self, texts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+
+    def _encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         ids, n = [], []
         for lo in range(0, len(texts), ENCODE_TEXTS):
-            out = [e.ids for e in self.tok.encode_batch_fast(texts[lo:lo + ENCODE_TEXTS], add_special_tokens=False)]
+            some = texts[lo:lo + ENCODE_TEXTS]
+            if len(self.mark) == 1:                       # a text costs the library more than a word does
+                out = self._ids([b"".join(t + b" " + MARK + b" " for t in some)])[0]
+                flat = np.fromiter(out, np.uint32, len(out))
+                at = np.flatnonzero(flat == self.mark[0])
+                if at.size == len(some):                  # else a text gives that id itself
+                    ids.append(np.delete(flat, at))
+                    n.append(np.diff(at, prepend=-1) - 1)
+                    continue
+            out = self._ids(some)
             n.append(np.fromiter(map(len, out), np.int64, len(out)))
             ids.append(np.fromiter(chain.from_iterable(out), np.uint32, int(n[-1].sum())))
         return np.concatenate(ids), np.concatenate(n)
@@ -126,7 +141,7 @@ class RunEncoder:
         known = np.minimum(np.searchsorted(self.key, u), max(self.key.size - 1, 0))
         hit = self.key[known] == u if self.key.size else np.zeros(u.size, bool)
         if not same or (hit & (self.check[known] != check if self.key.size else hit)).any():
-            ids, n = self._encode([raw[a:b].decode() for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())])
+            ids, n = self._encode([raw[a:b] for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())])
             return ids, n
         new = np.flatnonzero(~hit)
         if new.size:
@@ -138,7 +153,7 @@ class RunEncoder:
                     self._keep_used()
                 return self.piece(data, offs)
             f = first[new]
-            ids, n = self._encode([raw[a:b].decode() for a, b in zip(starts[f].tolist(), ends[f].tolist())])
+            ids, n = self._encode([raw[a:b] for a, b in zip(starts[f].tolist(), ends[f].tolist())])
             at = self.ids.size + np.cumsum(n) - n
             self.ids = np.concatenate([self.ids, ids])
             to = np.searchsorted(self.key, u[new])              # one array of the table at a time is copied

@@ -51,3 +51,42 @@ def test_memory_of_many_different_runs(spark, monkeypatch):
     assert np.concatenate(got).tolist() == [i for t in texts for i in [*(x for w in t.split() for x in (len(w), *w.encode()[-3:])), TP.END_ID]]
     assert max(made) <= 1 << 12
     assert peak < 60e6, f"{peak / 1e6:.0f} MB"
+
+
+def test_runs_share_a_text_of_the_library():
+    """A text of its own for each run took two thirds of the worker's time."""
+    pytest.importorskip("public_tokenizers")
+    from screenlake.llm.queries import vocab_path
+    tok, handed = TP.encoder(vocab_path()).tok, []
+
+    class Spy:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            handed.extend(texts)
+            return tok.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+    enc = TP.RunEncoder(Spy())
+    rng = np.random.default_rng(11)
+    plain = [" ".join(f"w{i} It's{i} été{i},".lstrip("w") for i in rng.integers(0, 10**6, 100)) for _ in range(20)]
+    odd = ["\x01", "a\x01 b \x01\x01 !\x01", "\x00 \x1c \x1f\x7f", "   x ﻿ 　", "́e é E̱ Å", "İ ΑΣ ΣΑ ß",
+           "한 한", "<|endoftext|> a<|startoftext|>b <|end oftext|> <|ENDOFTEXT|>", "'s 're''ll x's's", "𝒳👍🏽 0x1F ---!!", "</w> a</w>"]
+    for texts in (plain, [*plain, *odd], odd, odd):
+        raw = [t.encode() for t in texts]
+        handed.clear()
+        ids, n = enc.piece(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        want = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+        assert n.tolist() == [len(x) for x in want]
+        assert ids.tolist() == [i for x in want for i in x]
+        if texts is plain:
+            assert 1 <= len(handed) <= 30, len(handed)       # some 6000 runs
+        elif texts is odd:
+            enc.clear()                                      # the second time with marks in the only group
+
+
+@pytest.mark.parametrize("values", [np.full(100000, 255, np.uint8), np.full(70000, (1 << 64) - 1, np.uint64), np.full(70000, (1 << 61) - 2, np.uint64)])
+@pytest.mark.parametrize("point", [0, 1])
+def test_prefix_hash_of_the_largest_values(values, point):
+    """Sums of a block are reduced once; the largest values over some blocks against Python integers."""
+    p, x, want, power = int(B.P61), B.POINTS[point], [0], 1
+    for v in values.tolist():
+        want.append((want[-1] + (v % p + 1) * power) % p)
+        power = power * x % p
+    assert B.prefix_hash(values, point).tolist() == want

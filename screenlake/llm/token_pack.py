@@ -42,7 +42,7 @@ END_ID = 2
 BLOCK_IDS = 1 << 16
 KEPT_RUNS = 1 << 19
 ENCODE_TEXTS = 1 << 8      # the library holds about 1 kB for a text that it has encoded
-MARK = b"\x01"
+MARK = b" \x01 "            # between runs a word of its own
 
 
 def id_width(vocab_size: int) -> int:
@@ -104,7 +104,7 @@ class RunEncoder:
         for lo in range(0, len(texts), ENCODE_TEXTS):
             some = texts[lo:lo + ENCODE_TEXTS]
             if len(self.mark) == 1:                       # a text costs the library more than a word does
-                out = self._ids([b"".join(t + b" " + MARK + b" " for t in some)])[0]
+                out = self._ids([MARK.join(some) + MARK])[0]
                 flat = np.fromiter(out, np.uint32, len(out))
                 at = np.flatnonzero(flat == self.mark[0])
                 if at.size == len(some):                  # else a text gives that id itself

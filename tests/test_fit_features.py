@@ -89,3 +89,17 @@ def test_a_fit_does_not_grow_its_trees_again(rows, monkeypatch, at, asked, round
     got = T.fit(rows, cfg, rows, patience=2)
     assert fits == asked
     assert got == ("cut", rounds)
+
+
+def test_alternative_trainer_runs_its_whole_preset(rows, monkeypatch):
+    from screenlake.plans import queries_ml as Q
+    asked, small = [], T.TrainerConfig(overrides={"maxIter": 2, "maxDepth": 2, "minInstancesPerNode": 2})
+
+    def fit(train, cfg, valid=None, patience=T.PATIENCE):
+        asked.append((cfg.params(), patience, valid is not None))
+        return T.make_gbt(small, 2).fit(T.with_weight(train.select("features", "label"), small))
+    monkeypatch.setattr(Q, "_features", lambda spark, sf: rows.withColumn("grp", F.lit("en")).withColumn("fold", (F.col("key") % 5).cast("int")))
+    monkeypatch.setattr(T, "fit", fit)
+    out = Q.q_alt_trainer(None, None)
+    assert asked == [(T.PRESETS["deep"], T.PATIENCE, True)]
+    assert out.columns == ["key", "grp", "label", "pred"] and out.count() == 80

@@ -103,3 +103,40 @@ def test_alternative_trainer_runs_its_whole_preset(rows, monkeypatch):
     out = Q.q_alt_trainer(None, None)
     assert asked == [(T.PRESETS["deep"], T.PATIENCE, True)]
     assert out.columns == ["key", "grp", "label", "pred"] and out.count() == 80
+
+
+@pytest.mark.parametrize("least,asked", [(38, [40, 400]), (25, [40, 80]), (130, [40, 400]), (15, [40])])
+def test_a_fit_that_still_falls_goes_on_to_all_rounds(rows, monkeypatch, least, asked):
+    """Losses that fall to round ``least`` and rise from there."""
+    assert _rounds_asked(rows, monkeypatch, [abs(i + 1 - least) + 1.0 for i in range(400)]) == asked
+
+
+def test_a_fit_past_half_of_all_rounds_grows_them_all(rows, monkeypatch):
+    # a lower loss every 18 rounds: patience never runs out, none is among the last of a try
+    losses = [1000.0 - i if i % 18 == 12 else 1000.0 for i in range(1, 401)]
+    assert _rounds_asked(rows, monkeypatch, losses) == [40, 80, 160, 400]
+
+
+def _rounds_asked(rows, monkeypatch, losses):
+    fits = []
+
+    class Model:
+        def __init__(self, n):
+            self.n = n
+
+        def evaluateEachIteration(self, held):
+            return losses[:self.n]
+
+    class Gbt:
+        def __init__(self, n):
+            self.n = n
+
+        def fit(self, data):
+            fits.append(self.n)
+            return Model(self.n)
+    monkeypatch.setattr(T, "make_gbt", lambda cfg, n: Gbt(n))
+    monkeypatch.setattr(T, "first_rounds", lambda m, n: n)
+    got = T.fit(rows, T.TrainerConfig(overrides={"maxIter": 400}), rows, patience=20)
+    best = T.best_round(losses, 20)
+    assert got == best or (best == fits[-1] and got.n == best)
+    return fits
